@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillflow.llm import packing, token_counts
+from rillflow.llm import ngram_join, packing, token_counts
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +21,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op6_token_counts)}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op6_token_counts, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = {}
