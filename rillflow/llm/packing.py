@@ -140,4 +140,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_
         if group:
             yield rows(group, sequence)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").repartition(n).mapInArrow(task, SCHEMA)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(cast(text as string) as binary) text").repartition(n).mapInArrow(task, SCHEMA)

@@ -35,7 +35,7 @@ def histogram(docs: DataFrame, tokenizer: str | None = None, text: str = "text")
             found.update(count(x.as_py()) for x in batch.column(0))
         yield pa.record_batch({"n_tokens": pa.array(list(found), pa.int64()), "n_docs": pa.array(list(found.values()), pa.int64())})
 
-    part = docs.select(F.col(text).cast("string")).mapInArrow(task, "n_tokens long, n_docs long")
+    part = docs.select(F.col(text).cast("string").cast("binary")).mapInArrow(task, "n_tokens long, n_docs long")
     return part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
 
 
