@@ -35,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.components import components
-from rillflow.llm.store import drop, stored
+from rillflow.llm.store import drop, stored, table
 
-WORDS_CACHED = 500_000
-BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, LEADERS = 1024, 4_000_000, 4096, 64
+WORDS_CACHED = 250_000
+BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -102,44 +102,45 @@ def part_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
-def overlaps(rows: list[np.ndarray], cols: list[np.ndarray] | None = None) -> np.ndarray:
-    """Overlap counts of each row set with each column set (the row sets again, if None), accumulated over blocks of n-grams."""
+def linked(rows: list[np.ndarray], cols: list[np.ndarray] | None, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of row and column sets (of row sets with each other, if cols is None) that link, for some rows at a time. Overlap
+    counts are accumulated over blocks of n-grams."""
     sets = rows if cols is None else [*rows, *cols]
-    doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    doc = np.repeat(np.arange(len(sets)), sizes)
     grams, at = np.unique(np.concatenate(sets), return_inverse=True)
     shared = np.bincount(at, minlength=len(grams)) > 1
     at = np.where(shared, np.cumsum(shared) - 1, -1)[at]
     order = np.argsort(at, kind="stable")
     order = order[np.searchsorted(at[order], 0) :]
     at, doc, width = at[order], doc[order], int(shared.sum())
-    out = np.zeros((len(rows), len(cols if cols is not None else rows)), np.int64)
-    for c in range(0, width, COLUMNS):
-        lo, hi = np.searchsorted(at, [c, c + COLUMNS])
-        block = np.zeros((len(sets), COLUMNS), np.float32)
-        block[doc[lo:hi], at[lo:hi] - c] = 1
-        out += np.rint(block[: len(rows)] @ (block if cols is None else block[len(rows) :]).T).astype(np.int64)
-    return out
-
-
-def linked(rows: list[np.ndarray], cols: list[np.ndarray] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that link."""
-    both = overlaps(rows, cols)
-    a, b = (np.array([len(s) for s in x]) for x in (rows, rows if cols is None else cols))
-    return np.nonzero(100 * both >= percent * np.maximum(a[:, None] + b[None, :] - both, 1))
-
-
-def _forest(uid: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    """Links that join the same documents as all pairs (a, b) of indexes of uid do."""
+    right = slice(0 if cols is None else len(rows), len(sets))
+    for first in range(0, len(rows), TILE):
+        tile = slice(first, min(first + TILE, len(rows)))
+        both = np.zeros((tile.stop - first, right.stop - right.start), np.int32)
+        for c in range(0, width, COLUMNS):
+            lo, hi = np.searchsorted(at, [c, c + COLUMNS])
+            block = np.zeros((len(sets), COLUMNS), np.float32)
+            block[doc[lo:hi], at[lo:hi] - c] = 1
+            both += np.rint(block[tile] @ block[right].T).astype(np.int32)
+        either = sizes[tile, None] + sizes[None, right] - both
+        a, b = np.nonzero((both > 0) & (100 * both.astype(np.int64) >= percent * either))
+        yield a + first, b
+
+
+def _forest(uid: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """Links that join the same documents as all pairs of indexes of uid do."""
     root, out = list(range(len(uid))), []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        rx, ry = x, y
-        while root[rx] != rx:
-            root[rx] = rx = root[root[rx]]
-        while root[ry] != ry:
-            root[ry] = ry = root[root[ry]]
-        if rx != ry:
-            root[max(rx, ry)] = min(rx, ry)
-            out.append((uid[x], uid[y]))
+    for a, b in pairs:
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            rx, ry = x, y
+            while root[rx] != rx:
+                root[rx] = rx = root[root[rx]]
+            while root[ry] != ry:
+                root[ry] = ry = root[root[ry]]
+            if rx != ry:
+                root[max(rx, ry)] = min(rx, ry)
+                out.append((uid[x], uid[y]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -151,28 +152,30 @@ def _block(percent: int):
         sets, uid = [np.frombuffer(x, "<u8") for x in pdf.grams], pdf.uid.to_numpy()
         first = int((pdf.side == 0).sum())
         if first == len(sets):
-            a, b = linked(sets, None, percent)
-            up = a < b
-            return _forest(uid, a[up], b[up])
-        a, b = linked(sets[:first], sets[first:], percent)
-        return _forest(uid, a, b + first)
+            return _forest(uid, linked(sets, None, percent))
+        return _forest(uid, ((a, b + first) for a, b in linked(sets[:first], sets[first:], percent)))
 
     return run
 
 
-def _families(members: DataFrame, rows: DataFrame, percent: int, keep) -> DataFrame:
-    """Links (a, b) of row ids among the sets ``rows`` (family, uid, n, grams) of families."""
-    sizes = rows.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("grams_all"))
+def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, keep) -> DataFrame:
+    """Links (a, b) of row ids among the sets of families. ``wanted`` has family, uid, n and class; sets_of(rows) adds the
+    sets (grams) to rows with a class. Sets travel only to where they are multiplied."""
+    sizes = wanted.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("grams_all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("grams_all") / BLOCK_GRAMS))
-    rows = keep(rows.join(sizes.select("family", blocks.alias("blocks")), "family").withColumn("side", F.lit(0)), "families")
-    small = rows.where("blocks = 1").groupBy("family").applyInPandas(_block(percent), "a long, b long")
-    big = rows.where("blocks > 1")
+    wanted = keep(wanted.join(sizes.select("family", blocks.alias("blocks")), "family"), "sized")
+    alone = sets_of(wanted.where("blocks = 1").select("class", "family", "uid", F.lit(0).alias("side")))
+    small = keep(alone.groupBy("family").applyInPandas(_block(percent), "a long, b long"), "small")
+    big = wanted.where("blocks > 1")
     if not big.take(1):
         return small
-    dealt = big.withColumn("block", F.expr("pmod(xxhash64(uid), blocks)"))
-    ranks = big.join(members.groupBy(F.col("rep").alias("uid")).agg(F.count("*").alias("copies")), "uid").select("family", "uid", "n", "grams", "blocks", F.expr("row_number() over (partition by family order by copies desc, n desc, uid)").alias("r"))
-    leaders = ranks.where(F.col("r") <= LEADERS).withColumns({"side": F.lit(1), "block": F.explode(F.expr("sequence(0L, blocks - 1)"))}).drop("r")
-    star = keep(dealt.unionByName(leaders.select(*dealt.columns)).groupBy("family", "block").applyInPandas(_block(percent), "a long, b long"), "star")
+    sets = keep(sets_of(big.select("class", "uid")).select("uid", "grams"), "sets")
+    big = big.withColumn("block", F.expr("pmod(xxhash64(uid), blocks)"))
+    copies = members.groupBy(F.col("rep").alias("uid")).agg(F.count("*").alias("copies"))
+    ranks = big.join(copies, "uid").withColumn("r", F.expr("row_number() over (partition by family order by copies desc, n desc, uid)"))
+    leaders = ranks.where(F.col("r") <= LEADERS).select("family", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "uid", F.lit(1).alias("side"))
+    star_rows = big.select("family", "block", "uid", F.lit(0).alias("side")).unionByName(leaders)
+    star = keep(star_rows.join(sets, "uid").groupBy("family", "block").applyInPandas(_block(percent), "a long, b long"), "star")
     joined = components(star)
     big = big.join(joined.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     size = big.groupBy("label").agg(F.count("*").alias("c"), F.sum("n").alias("g"))
@@ -181,25 +184,20 @@ def _families(members: DataFrame, rows: DataFrame, percent: int, keep) -> DataFr
     # a block of one component is never multiplied with another of the same; the rest share blocks, dealt by hash
     mixed = F.expr("struct(-1L as of, pmod(xxhash64(uid), blocks) as nr)")
     pure = F.expr("struct(label as of, pmod(xxhash64(uid), pieces) as nr)")
-    big = keep(big.withColumn("part", F.when(F.col("pieces").isNotNull(), pure).otherwise(mixed)).select("family", "part", "uid", "n", "grams"), "parts")
+    big = keep(big.withColumn("part", F.when(F.col("pieces").isNotNull(), pure).otherwise(mixed)).select("family", "part", "uid"), "parts")
     parts = big.select("family", "part").distinct()
-    other = parts.withColumnRenamed("part", "q")
-    pairs = parts.join(other, "family").where("part <= q and not (part.of = q.of and part.of >= 0)").selectExpr("family", "part", "q", "explode(if(part = q, array(0), array(0, 1))) side")
-    pairs = pairs.withColumn("mine", F.expr("if(side = 0, part, q)"))
-    sides = pairs.join(big.withColumnRenamed("part", "mine"), ["family", "mine"]).select("family", "part", "q", "side", "uid", "n", "grams")
-    cross = sides.groupBy("family", "part", "q").applyInPandas(_block(percent), "a long, b long")
+    pairs = parts.join(parts.withColumnRenamed("part", "q"), "family").where("part <= q and not (part.of = q.of and part.of >= 0)")
+    pairs = pairs.selectExpr("family", "part", "q", "explode(if(part = q, array(0), array(0, 1))) side").withColumn("mine", F.expr("if(side = 0, part, q)"))
+    sides = pairs.join(big.withColumnRenamed("part", "mine"), ["family", "mine"]).select("family", "part", "q", "side", "uid").join(sets, "uid")
+    cross = keep(sides.groupBy("family", "part", "q").applyInPandas(_block(percent), "a long, b long"), "cross")
     return small.unionByName(star).unionByName(cross)
 
 
-def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """doc_id, n_shingles and component_id for each row. Ids of candidate documents are broadcast up to ``broadcast_ids``,
-    and joined by a shuffle beyond."""
-    spark, made = docs.sparkSession, []
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out, path = stored(df, name)
-        made.append(path)
-        return out
+def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_rows: int = 250_000, broadcast_keys: int = 1_000_000) -> DataFrame:
+    """doc_id, n_shingles and component_id for each row. The ids of documents in families are broadcast up to
+    ``broadcast_rows`` of them, and keys that several sets have up to ``broadcast_keys``; beyond, they are joined by a shuffle."""
+    spark = docs.sparkSession
+    keep = table
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,36 +207,39 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_id
                 yield pa.record_batch({"doc_id": part.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "class": pa.array([class_hash(s) for s in sets], pa.binary()), "keys": pa.array([part_keys(s, percent) for s in sets], pa.list_(pa.int64()))})
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    signed = keep(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
-    classes = signed.where("n > 0").groupBy("class").agg(F.min("uid").alias("rep"))
-    members = keep(signed.where("n > 0").select("uid", "doc_id", "n", "class").join(classes, "class"), "members")
+    signed, signed_path = stored(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
+    rows = signed.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
+    classes = rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"))
+    members = keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")), "members")
     copies = members.where("uid != rep").select("uid")
     exploded = signed.join(copies, "uid", "left_anti").select("uid", F.explode("keys").alias("key"))
     shared = exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
     meet = exploded.join(shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
     families = keep(components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family")), "family")
+    drop(spark, signed_path)
 
     wanted = keep(families.join(members.where("uid = rep"), "uid").select("uid", "family", "n", "doc_id", "class"), "wanted")
-    ids = wanted.select("doc_id").distinct()
-    ids = F.broadcast(ids) if wanted.count() <= broadcast_ids else ids
+    few = wanted.count() <= broadcast_rows
+    maybe = F.broadcast if few else lambda df: df
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # repeated rows would only repeat a set
         for batch in batches:
-            for text in batch.column(0):
-                grams = gram_set(text.as_py(), n)
-                if (h := class_hash(grams)) not in seen and len(grams):
-                    if len(seen) < WORDS_CACHED:
-                        seen.add(h)
-                    yield pa.record_batch({"class": pa.array([h], pa.binary()), "grams": pa.array([grams.tobytes()], pa.binary())})
-
-    sets = source.join(ids, source.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text").mapInArrow(sets_of, "class binary, grams binary")
-    rows = sets.join(wanted, "class").select("family", "uid", "n", "grams").dropDuplicates(["uid"])
-    links = _families(members, rows, percent, keep)
+            for at in range(0, batch.num_rows, 500):
+                sets = [gram_set(x.as_py(), n) for x in batch.slice(at, 500).column(0)]
+                new = {h: s for s in sets if len(s) and (h := class_hash(s)) not in seen}
+                if len(seen) < WORDS_CACHED:
+                    seen.update(new)
+                yield pa.record_batch({"class": pa.array(list(new), pa.binary()), "grams": pa.array([s.tobytes() for s in new.values()], pa.binary())})
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        ids = maybe(wanted.join(rows.select("class"), "class", "left_semi").select("doc_id").distinct())
+        texts = source.join(ids, source.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text")
+        return texts.mapInArrow(grams, "class binary, grams binary").join(maybe(rows), "class").drop("class")
+
+    links = _families(wanted, members, sets_of, percent, keep)
     # what joins the documents: links between classes, and rows that are of one class or of one doc_id
     found = components(links)
     by_rep = members.join(found.select(F.col("node").alias("rep"), "label"), "rep", "left").select("uid", "doc_id", "n", F.coalesce("label", "rep").alias("label"))
     least = by_rep.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = by_rep.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone)
+    return by_rep.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
