@@ -38,7 +38,7 @@ def type_fingerprint(of: T.DataType) -> Column:
 
 def micros(nanos: Column) -> Column:
     """Whole microseconds of nanoseconds, towards zero."""
-    return F.when(nanos >= 0, F.floor(nanos / 1000)).otherwise(F.ceil(nanos / 1000)).cast("long")
+    return F.call_function("div", nanos, F.lit(1000)).cast("long")
 
 
 def any_true(c: Column) -> Column:
