@@ -185,7 +185,6 @@ def test_one_input_to_two_pools():
 
 
 def test_pool_key_and_commits(spark, tmp_path):
-    Pool.create(spark, f"{tmp_path}/desc", order="desc") if False else None
     with pytest.raises(PoolError, match="must be kafka.offset"):
         Pool.create(spark, f"{tmp_path}/desc", order="desc")
     with pytest.raises(PoolError, match="no pool"):

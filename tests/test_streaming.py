@@ -1,0 +1,139 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow import cli
+from rillflow.config import seconds
+from rillflow.model import EARLIEST, LATEST, FieldError, deref, kafka_meta, type_text
+from rillflow.operators import records as R
+from rillflow.sources.pool import Pool
+from rillflow.streaming.log import FileLog, kafka_options
+from rillflow.streaming.move import Codec, FormatError, OffsetError, check_monotonic, consume, from_log, produce, to_log
+
+
+@pytest.mark.parametrize("format_", ["json", "avro"])
+def test_ingest_and_resume(spark, tmp_path, format_):
+    """Three types in one pool, read in two runs that go on where the pool ends."""
+    log, codec = FileLog(spark, f"{tmp_path}/log"), Codec(format_)
+    pool = Pool.create(spark, f"{tmp_path}/pool")
+    said = []
+    for k, names in enumerate((["a"], ["b", "c"])):
+        for name in names:
+            produce(spark.createDataFrame([(1 + "abc".index(name),)], f"{name} bigint"), log, "T", codec)
+        got, _ = from_log(log, {"P": pool}, {"P": ["T"]}, f"{tmp_path}/check{k}", codec, query=f"q{format_}{k}")
+        said += [x.split()[-2:] for x in got]
+    assert said == [["1", "record"], ["2", "records"]]
+    rows = {}
+    for df in pool.by_type("T").values():
+        for r in df.collect():
+            rows[r.kafka.offset] = (type_text(df.schema["value"].dataType), list(r.value)[0], r.key)
+    assert rows == {0: ("{a:int64}", 1, None), 1: ("{b:int64}", 2, None), 2: ("{c:int64}", 3, None)}
+    assert pool.next_consumer_offset("T") == 3
+
+
+def test_shaper_several_pools_and_stored_batches(spark, tmp_path):
+    log = FileLog(spark, f"{tmp_path}/log")
+    pools = {n: Pool.create(spark, f"{tmp_path}/{n}") for n in "PQ"}
+    produce(spark.range(10).select(F.struct("id").alias("key"), F.struct(F.col("id").alias("x")).alias("value")), log, "T")
+    from_log(log, pools, {"P": ["T"], "Q": ["T"]}, f"{tmp_path}/c1", shaper="SELECT * FROM {this} WHERE value.x % 2 = 0", per_batch=1, query="s1")
+    assert [pools[n].read("T").count() for n in "PQ"] == [5, 5]
+    from_log(log, {"P": pools["P"]}, {"P": ["T"]}, f"{tmp_path}/c1b", query="s2")
+    assert pools["P"].next_consumer_offset("T") == 10
+
+
+def test_monotonic(spark):
+    df = spark.createDataFrame([("T", 3)], "topic string, offset bigint")
+    check_monotonic(df, {"T": 3})
+    with pytest.raises(OffsetError):
+        check_monotonic(df, {"T": 4})
+
+
+def test_publish_resumes_and_passes_gaps(spark, tmp_path):
+    log, pool = FileLog(spark, f"{tmp_path}/log"), Pool.create(spark, f"{tmp_path}/pool")
+    schema = "kafka struct<topic: string, offset: bigint>, key struct<id: bigint>, value struct<x: bigint>"
+    pool.commit([("T", spark.createDataFrame([(("T", i), (i,), (10 * i,)) for i in range(5)], schema))])
+    log.create_missing(["T"])
+    assert to_log(pool, "T", log, size=2) == 5 and to_log(pool, "T", log) == 0
+    pool.commit([("T", spark.createDataFrame([(("T", i), (i,), (10 * i,)) for i in (5, 6)], schema))])
+    assert to_log(pool, "T", log, size=2) == 2 and log.watermarks("T") == (0, 7)
+    (back,) = consume(log, "T")
+    assert sorted((r.kafka.offset, r.key.id, r.value.x) for r in back.collect()) == [(i, i, 10 * i) for i in range(7)]
+    (tail,) = consume(log, "T", 5, meta=False)
+    assert tail.columns == ["key", "value"] and tail.count() == 2
+    assert log.read("T", LATEST).count() == 0 and log.read("T", EARLIEST).count() == 7
+    # a shaper that drops a whole batch doesn't end the run
+    other = Pool.create(spark, f"{tmp_path}/other")
+    other.commit([("U", spark.createDataFrame([(("U", i), (i,), (i,)) for i in range(6)], schema))])
+    log.create_missing(["U"])
+    assert to_log(other, "U", log, shaper=lambda df: df.where("value.x >= 4"), size=2) == 2
+
+
+def test_formats_and_settings():
+    with pytest.raises(FormatError):
+        Codec("xml")
+    assert kafka_options({"bootstrap_servers": "h:1"})["kafka.security.protocol"] == "PLAINTEXT"
+    sasl = kafka_options({"bootstrap_servers": "h:1", "security_protocol": "SASL_SSL", "sasl_mechanisms": "PLAIN", "sasl_username": "u", "sasl_password": 'p"'})
+    assert 'password="p\\""' in sasl["kafka.sasl.jaas.config"]
+    for bad in ({"security_protocol": "TLS"}, {"security_protocol": "SASL_SSL", "sasl_mechanisms": "SCRAM"}):
+        with pytest.raises(ValueError):
+            kafka_options({"bootstrap_servers": "h:1", **bad})
+    assert seconds("1m30s") == 90 and seconds("500ms") == 0.5
+    with pytest.raises(ValueError):
+        seconds("5 s")
+
+
+def test_micro_anti_join(spark):
+    left = spark.createDataFrame([(1, 1), (2, 2), (3, 2), (4, 3), (5, 4), (5, 5)], "a bigint, id bigint")
+    right = spark.createDataFrame([(2,), (5,)], "drop bigint")
+    assert sorted(map(tuple, R.anti_join(left, "id", right, "drop").collect())) == [(1, 1), (4, 3), (5, 4)]
+
+
+def test_transactions(spark):
+    """Order lines gathered by transaction, priced by array position."""
+    rows = [(1, 1, False, "Alice", "burger", 2), (2, 1, True, "Alice", "burger", 2), (3, 2, False, "Bob", "taco", 1)]
+    df = spark.createDataFrame(rows, "seqno bigint, txn bigint, done boolean, customer string, product string, qty bigint")
+    (got,) = R.bundles(df, "txn", "seqno", "done").collect()
+    assert got.key == 1 and [r.seqno for r in got.records] == [1, 2]
+
+
+def test_numbering_across_buckets(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("o"), F.col("id").alias("t"))
+    got = {r.o: r.n for r in R.number(df, ["o", "t"], "n", 5, width=64).collect()}
+    assert got == {i: i + 5 for i in range(1000)}
+
+
+def test_fields(spark):
+    df = spark.createDataFrame([(("T", 1), 2)], "kafka struct<topic: string, offset: bigint>, value int")
+    assert kafka_meta(df).count() == 1 and deref(df.schema, "kafka.offset").simpleString() == "bigint"
+    with pytest.raises(FieldError):
+        deref(df.schema, "kafka.nothing")
+    with pytest.raises(FieldError):
+        kafka_meta(df.select("value"))
+    with pytest.raises(Exception, match="no kafka.topic"):
+        kafka_meta(spark.createDataFrame([((None, 1), 2)], df.schema)).collect()
+    with pytest.raises(ValueError):
+        R.project({"a": "1", "a.b": "2"})
+    assert R.quote_in("in.x + begin.y + src.in.z") == "`in`.x + begin.y + src.in.z"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    def call(*args):
+        code = cli.run([*args], spark)
+        return code, capsys.readouterr().out
+
+    common = ("--log", f"{tmp_path}/log", "--lake", f"{tmp_path}/lake")
+    assert call()[0] == 0 and "rillflow" in call("version")[1]
+    (tmp_path / "in.json").write_text('{"key": {"ID": 1}, "value": {"op": "u", "after": {"ID": 1, "name": "x"}}}\n')
+    (tmp_path / "t.yaml").write_text("inputs: [{topic: A, pool: Raw}]\noutput: {topic: B, pool: Out}\ntransforms: [{type: stateless, in: A, out: B, where: value.op = 'u', select: {key: in.key, value: in.value.after}}]\n")
+    for p in ("Raw", "Out"):
+        assert call("create", *common, p)[0] == 0
+    assert "1 message produced" in call("produce", *common, "--topic", "A", f"{tmp_path}/in.json")[1]
+    assert "low 0 high 1" in call("info", *common, "--topic", "A")[1]
+    assert "pool Raw commit" in call("from-log", *common, f"{tmp_path}/t.yaml")[1]
+    assert "case 0" in call("etl", "--explain", f"{tmp_path}/t.yaml")[1]
+    assert "transformed 2 records" in call("etl", *common, f"{tmp_path}/t.yaml")[1]
+    assert "nothing new" in call("etl", *common, f"{tmp_path}/t.yaml")[1]
+    assert "synchronized 1 record" in call("to-log", *common, "--pool", "Out", "--topic", "B")[1]
+    assert '"name":"x"' in call("consume", *common, "--topic", "B")[1]
+    assert call("ls", *common)[0] == 0
+    for bad in (("from-log", "--pool", "x"), ("from-log",), ("to-log", "--topic", "x"), ("consume",), ("info", *common, "--topic", "none")):
+        assert cli.run([*bad], spark) == 1
