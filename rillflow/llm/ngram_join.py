@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from rillflow.llm.components import components
 from rillflow.llm.store import drop, stored, table
 
-WORDS_CACHED = 250_000
+WORDS_CACHED = 100_000
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -107,13 +107,17 @@ def linked(rows: list[np.ndarray], cols: list[np.ndarray] | None, percent: int)
     counts are accumulated over blocks of n-grams."""
     sets = rows if cols is None else [*rows, *cols]
     sizes = np.array([len(s) for s in sets])
-    doc = np.repeat(np.arange(len(sets)), sizes)
-    grams, at = np.unique(np.concatenate(sets), return_inverse=True)
-    shared = np.bincount(at, minlength=len(grams)) > 1
-    at = np.where(shared, np.cumsum(shared) - 1, -1)[at]
-    order = np.argsort(at, kind="stable")
-    order = order[np.searchsorted(at[order], 0) :]
-    at, doc, width = at[order], doc[order], int(shared.sum())
+    doc = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    grams = np.concatenate(sets)
+    order = np.argsort(grams)
+    grams, doc = grams[order], doc[order]
+    # grams of one set add to no overlap
+    new = np.ones(len(grams) + 1, bool)
+    new[1:-1] = grams[1:] != grams[:-1]
+    shared = ~(new[:-1] & new[1:])
+    doc, at = doc[shared], np.cumsum(new[:-1][shared], dtype=np.int32) - 1
+    width = int(at[-1]) + 1 if len(at) else 0
+    del grams, order, new, shared
     right = slice(0 if cols is None else len(rows), len(sets))
     for first in range(0, len(rows), TILE):
         tile = slice(first, min(first + TILE, len(rows)))
@@ -195,7 +199,8 @@ def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, keep
 
 def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_rows: int = 250_000, broadcast_keys: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles and component_id for each row. The ids of documents in families are broadcast up to
-    ``broadcast_rows`` of them, and keys that several sets have up to ``broadcast_keys``; beyond, they are joined by a shuffle."""
+    ``broadcast_rows`` of them, keys that several sets have and ids of exact copies up to
+    ``broadcast_keys``; beyond, they are joined by a shuffle."""
     spark = docs.sparkSession
     keep = table
 
@@ -212,9 +217,10 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     classes = rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"))
     members = keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")), "members")
     copies = members.where("uid != rep").select("uid")
+    copies = F.broadcast(copies) if copies.count() <= broadcast_keys else copies
     exploded = signed.join(copies, "uid", "left_anti").select("uid", F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
-    meet = exploded.join(shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
+    shared = keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"), "shared")
+    meet = exploded.join(F.broadcast(shared) if shared.count() <= broadcast_keys else shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
     families = keep(components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family")), "family")
     drop(spark, signed_path)
 
