@@ -142,7 +142,7 @@ def read_batch(df: DataFrame, topic: str, offset: int, size: int, shaper: Shaper
     return shape(some, shaper).orderBy("kafka.offset")
 
 
-def number(df: DataFrame, order: list[str], into: str, first: Column | int = 0, near: str | None = None, width: int = 1 << 20) -> DataFrame:
+def number(df: DataFrame, order: list[str], into: str, first: Column | int = 0, near: str | None = None, width: int = 1 << 17) -> DataFrame:
     """Numbers rows densely from ``first`` in a total order, without one task that sees them all.
 
     ``near`` (the first of the order, an integer) cuts rows into buckets of ``width``; rows are numbered within a bucket, and a

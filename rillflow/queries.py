@@ -436,3 +436,45 @@ def base64_bytes(spark: SparkSession, d: str) -> DataFrame:
 def typed_null(spark: SparkSession, d: str) -> DataFrame:
     df = read(spark, d, "customer")
     return df.select(F.col("c_custkey").alias("id"), fn.typed_null("bigint").alias("nothing"), fn.type_name(df.schema["c_name"].dataType).alias("kind"))
+
+
+@query("...SELECT off FROM ord WHERE off > (SELECT min(off) - 1 FROM open_o) AND off <= 14000")
+def range_scan_from_cursor(spark: SparkSession, d: str) -> DataFrame:
+    raw, marks = both(spark, d)
+    cursor = R.contiguous_cursor(R.unprocessed(raw["orders"], marks["orders"]), raw["orders"]).first()[0]
+    return R.from_offset(raw["orders"], cursor + 1, 14000).select(F.col("kafka.offset").alias("off"))
+
+
+@query("SELECT 'customer' AS kind, c_custkey AS id, c_acctbal AS balance FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier")
+def concat_sources(spark: SparkSession, d: str) -> DataFrame:
+    one = read(spark, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    return fuse(one, read(spark, d, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance")))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos, bool_or(l_returnflag = 'R') OVER (PARTITION BY l_orderkey) AS done FROM lineitem)
+SELECT l_orderkey AS txn, pos, l_partkey AS part FROM l WHERE done""")
+def bundle_explode(spark: SparkSession, d: str) -> DataFrame:
+    """Several outputs of one bundle."""
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    found = R.bundles(lines, "l_orderkey", "struct(l_linenumber, l_partkey, l_suppkey)", "l_returnflag = 'R'")
+    return found.select(F.col("key").alias("txn"), F.posexplode("records").alias("pos", "r")).select("txn", "pos", F.col("r.l_partkey").alias("part"))
+
+
+@query("...SELECT off, op, CASE op WHEN 'r' THEN 'snapshot read' WHEN 'c' THEN 'create' WHEN 'u' THEN 'update' ELSE 'delete' END AS meaning, op IN ('r', 'c') AS no_before, op = 'd' AS no_after FROM ord")
+def debezium_shape(spark: SparkSession, d: str) -> DataFrame:
+    from rillflow.model import OPS
+
+    return orders(spark, d).select(F.col("kafka.offset").alias("off"), "value.op", fn.lookup(OPS, F.col("value.op")).alias("meaning"), F.col("value.before").isNull().alias("no_before"), F.col("value.after").isNull().alias("no_after"))
+
+
+@query("...SELECT off, (SELECT count(*) FROM ord) AS n FROM ord WHERE off < 3")
+def checked_kafka_meta(spark: SparkSession, d: str) -> DataFrame:
+    from rillflow.model import kafka_meta
+
+    df = kafka_meta(orders(spark, d))
+    return df.where("kafka.offset < 3").select(F.col("kafka.offset").alias("off")).join(F.broadcast(df.agg(F.count("*").alias("n"))))  # one row
+
+
+@query("...SELECT min(off) AS off, 'orders' AS topic, op FROM ord GROUP BY op")
+def head_of_each_type(spark: SparkSession, d: str) -> DataFrame:
+    return orders(spark, d).groupBy(F.col("kafka.topic").alias("topic"), F.col("value.op").alias("op")).agg(F.min_by("kafka.offset", "kafka.offset").alias("off"))
