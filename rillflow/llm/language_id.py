@@ -33,8 +33,9 @@ from rillflow.llm.store import table
 
 ORDER, BITS = 4, 6
 PAD = ORDER - 1
-BATCH_SYMBOLS = 2_000_000
+BATCH_SYMBOLS = 500_000
 UNKNOWN = "und"
+SHORT = 4.0  # nats times the root of the length
 
 
 def _symbols() -> np.ndarray:
@@ -49,7 +50,6 @@ def _symbols() -> np.ndarray:
 
 
 _table: list[np.ndarray] = []
-_scratch: list[np.ndarray] = []
 
 
 def symbols(text: str) -> np.ndarray:
@@ -79,16 +79,18 @@ def codes(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return code[inside], firsts
 
 
-def distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes, sorted, and each code's place in them."""
-    if not _scratch:
-        _scratch.extend((np.zeros(1 << (BITS * ORDER), bool), np.zeros(1 << (BITS * ORDER), np.int32)))
-    seen, place = _scratch
-    seen[code] = True
-    found = np.flatnonzero(seen)
-    seen[found] = False
-    place[found] = np.arange(len(found), dtype=np.int32)
-    return found, place[code]
+class Distinct:
+    """Finds the distinct codes of a batch, sorted, and each code's place in them. Its tables (80 MB) live as long as a task."""
+
+    def __init__(self) -> None:
+        self.seen, self.place = np.zeros(1 << (BITS * ORDER), bool), np.empty(1 << (BITS * ORDER), np.int32)
+
+    def __call__(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.seen[code] = True
+        found = np.flatnonzero(self.seen)
+        self.seen[found] = False
+        self.place[found] = np.arange(len(found), dtype=np.int32)
+        return found, self.place[code]
 
 
 class Model:
@@ -161,6 +163,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """lang, code, n of a table of text and lang."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct = Distinct()
         for docs, (langs,) in _in_batches(batches, 1):
             by: dict[str, list[np.ndarray]] = defaultdict(list)
             for d, lang in zip(docs, langs, strict=True):
@@ -196,6 +199,7 @@ def score(docs: DataFrame, models: dict[str, Model], text: str = "text", *keep:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct = Distinct()
         for docs_, values in _in_batches(batches, *range(1, 1 + len(keep))):
             n = np.array([len(d) for d in docs_])
             some = [d for d in docs_ if len(d)]
@@ -255,13 +259,14 @@ class Calibration:
         return F.when(F.col("lang_pred") == UNKNOWN, 0.0).otherwise(F.get(shares, _bin().cast("int")))
 
 
-def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.5, *keep: str) -> DataFrame:
+def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 2.0, *keep: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score (share of right answers among training documents of like lead), entropy, rejected, and the
     columns ``keep``. Rejected are texts without letters and those whose cross-entropy is more than ``slack`` times what a share
-    ``quantile`` of training documents stays under: they look like none of the languages."""
+    ``quantile`` of training documents stays under, with an allowance for short texts: they look like none of the languages."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *keep).withColumn("held_out", held_out())
     models = train(rows.where("not held_out and lang is not null and text is not null"))
     scored = table(score(rows, models, "text", "doc_id", "lang", "held_out", *keep), "scored")
     fit = Calibration(scored, quantile, slack)
-    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > fit.bound)
+    # a short text's mean is uncertain; it must pass the bound by more
+    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") - SHORT / F.sqrt(F.col("n_symbols") + 1) > fit.bound)
     return scored.select("doc_id", "held_out", "lang_pred", fit.score().alias("score"), "entropy", rejected.alias("rejected"), *keep)

@@ -14,7 +14,7 @@ import unicodedata
 
 import numpy as np
 
-CACHE_WORDS = 600_000  # in each of two generations, about 200 bytes a word
+CACHE_WORDS = 250_000  # in each of two generations, about 200 bytes a word
 LONGEST_CACHED = 64
 ODD = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 MARKS = frozenset(".,;:!?")

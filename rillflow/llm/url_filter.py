@@ -3,7 +3,8 @@
 Labelled pages count as good or bad outcomes of their host. Counts are shrunk down the name: the corpus rate is the prior of a
 public suffix, the suffix's posterior mean that of a registered domain, and the domain's that of a host, each prior weighing
 ``strength`` pseudo-pages. A host is blocked when the lower bound of its Beta posterior (mean less ``z`` standard deviations)
-passes ``most_bad``: unknown hosts have their domain's mean but a wide posterior, so only evidence blocks. Rules come before
+passes ``most_bad``: a host without outcomes has its domain's mean and a wide posterior, so it takes a clearly bad domain to block
+it. Rules come before
 that: of the rules that fit a URL the longest decides.
 
 Counts are aggregated before any shuffle. The hosts' verdicts meet the pages by a join on the host; a host with at least one in
