@@ -74,9 +74,11 @@ def denorm(rule: Rule, left: DataFrame, right: DataFrame) -> DataFrame:
 @dataclass
 class Result:
     """outputs: a frame (kafka, key, value) for each rule that made one; done: completion records of each input topic; found: the number
-    of rows that outputs and completions were before repeats went, as the run reports it; kept: what is persisted."""
+    of rows that outputs and completions were before repeats went, as the run reports it; kept: what is persisted. numbered: all outputs
+    in one frame (_rule, _number, _left, _right and a record out<rule> for each rule), which numbers them once."""
 
     outputs: list[DataFrame]
+    numbered: DataFrame
     done: dict[str, DataFrame]
     found: DataFrame
     kept: list[DataFrame]
@@ -115,7 +117,7 @@ def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFra
     marks = rows.select(F.explode(F.array("_left", "_right")).alias("k")).where("k is not null").select("k.topic", "k.offset").distinct()
     marks = marks.select(F.struct("topic", "offset").alias("kafka"))
     completions = {t: marks.where(F.col("kafka.topic") == t) for t in p.inputs}
-    return Result(outputs, completions, rows.agg((2 * F.count("*")).alias("found")), [*routed.values(), rows] if persist else [])
+    return Result(outputs, numbered, completions, rows.agg((2 * F.count("*")).alias("found")), [*routed.values(), rows] if persist else [])
 
 
 def _lacks(e: Exception) -> bool:

@@ -7,8 +7,9 @@ Tables become topics: ``orders`` (offset o_orderkey, operation by status), ``ord
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,9 +99,11 @@ def run(spark: SparkSession, d: str, raw: dict[str, DataFrame] | None = None, ma
 
 def flat(result: etl.Result) -> DataFrame:
     """Outputs of all rules as plain columns."""
-    some = [df.select(F.col("kafka.topic").alias("topic"), F.col("kafka.offset").alias("off"), F.lit(i).alias("rule"), F.col("key.id").alias("id"), "value") for i, df in enumerate(result.outputs)]
-    out = fuse(*some)
-    return out.select("topic", "off", "rule", "id", F.col("value").isNull().alias("deleted"), *[F.col(f"value.{c}").alias(c) for c in ("cust", "total", "qty", "revenue")])
+    n = result.numbered
+    outs = {c: n.schema[c].dataType for c in n.columns if c.startswith("out")}
+    of = lambda path: F.coalesce(*[F.col(f"{c}.{path}") for c, t in outs.items() if path.split(".")[-1] in t[path.split(".")[0]].dataType.names])
+    deleted = reduce(Column.__or__, [F.col(f"{c}.value").isNull() & (F.col("_rule") == int(c[3:])) for c in outs])
+    return n.select(F.lit("facts").alias("topic"), F.col("_number").alias("off"), F.col("_rule").alias("rule"), of("key.id").alias("id"), deleted.alias("deleted"), *[of(f"value.{c}").alias(c) for c in ("cust", "total", "qty", "revenue")])
 
 
 # scans, filters and projections
@@ -205,7 +208,10 @@ def anti_join_seqno(spark: SparkSession, d: str) -> DataFrame:
 
 @query("...SELECT src AS id, cust, total, qty, revenue FROM facts WHERE rule = 0")
 def denorm_join(spark: SparkSession, d: str) -> DataFrame:
-    return run(spark, d).outputs[0].select("key.id", "value.cust", "value.total", "value.qty", "value.revenue")
+    raw, marks = both(spark, d)
+    (p,) = etl.plan(transform())
+    left, right = (etl.route(R.unprocessed(raw[t], marks[t]), t, p.rules).where("rule = 0") for t in ("orders", "order_totals"))
+    return etl.denorm(p.rules[0], left, right).select("key.id", "value.cust", "value.total", "value.qty", "value.revenue")
 
 
 @query("...SELECT 'orders' AS topic, src AS off FROM facts UNION ALL SELECT 'order_totals', other FROM facts WHERE rule = 0")
@@ -293,8 +299,7 @@ def having_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query("...SELECT row_number() OVER (ORDER BY src, src_topic, rule, other) - 1 AS off, src, rule FROM facts")
 def assign_output_offsets(spark: SparkSession, d: str) -> DataFrame:
-    frames = run(spark, d).outputs
-    return fuse(*[f.select(F.col("kafka.offset").alias("off"), F.col("key.id").alias("src"), F.lit(i).alias("rule")) for i, f in enumerate(frames)])
+    return flat(run(spark, d)).select("off", F.col("id").alias("src"), "rule")
 
 
 @query("SELECT event_id AS id, 41 + row_number() OVER (ORDER BY user_id, event_id) AS off FROM events")
