@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from rillflow.llm.store import partitions
-from rillflow.llm.tokens import default_tokenizer, word_tokenizer
+from rillflow.llm.store import partitions, small_batches
+from rillflow.llm.tokens import default_tokenizer, slices, word_tokenizer
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
@@ -113,6 +113,7 @@ def plan(lengths: list[int], room: int, least_cut: int) -> list[tuple[int, int,
 
 def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_tokens: int = 4_000_000, least_cut: int = 64) -> DataFrame:
     """A row per piece; ``ids_crc32`` is that of its ids as little-endian unsigned 32-bit numbers."""
+    small_batches(docs.sparkSession)
     tokenizer, n = tokenizer or default_tokenizer(), partitions(docs.sparkSession)
 
     def rows(group: list[tuple[int | None, bytes]], sequence: int) -> pa.RecordBatch:
@@ -126,17 +127,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_
         return pa.record_batch([pa.array(c, pa.int64()) for c in cols], schema=ARROW)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokenizer(tokenizer).packed
+        encode = word_tokenizer(tokenizer).packed_all
         sequence, group, held = TaskContext.get().partitionId() << 40, [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + END
-                group.append((doc_id, ids))
-                held += len(ids) >> 2
-                if held >= group_tokens:
-                    out = rows(group, sequence)
-                    yield out
-                    sequence, group, held = sequence + len(group) + held // room + 1, [], 0
+            doc_ids = batch.column(0).to_pylist()
+            for at, texts in slices(batch.column(1)):
+                for doc_id, ids in zip(doc_ids[at:], encode(texts), strict=False):
+                    group.append((doc_id, ids + END))
+                    held += (len(ids) >> 2) + 1
+                    if held >= group_tokens:
+                        yield rows(group, sequence)
+                        sequence, group, held = sequence + len(group) + held // room + 1, [], 0
         if group:
             yield rows(group, sequence)
 

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import stored
-from rillflow.llm.tokens import default_tokenizer, word_tokenizer
+from rillflow.llm.store import small_batches, stored
+from rillflow.llm.tokens import default_tokenizer, slices, word_tokenizer
 
 BLOCK = 1024
 
@@ -28,11 +28,13 @@ BLOCK = 1024
 def histogram(docs: DataFrame, tokenizer: str | None = None, text: str = "text") -> DataFrame:
     """Columns n_tokens, n_docs."""
     tokenizer = tokenizer or default_tokenizer()
+    small_batches(docs.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, found = word_tokenizer(tokenizer).count, Counter()
+        counts, found = word_tokenizer(tokenizer).counts, Counter()
         for batch in batches:
-            found.update(count(x.as_py()) for x in batch.column(0))
+            for _, texts in slices(batch.column(0)):
+                found.update(counts(texts))
         yield pa.record_batch({"n_tokens": pa.array(list(found), pa.int64()), "n_docs": pa.array(list(found.values()), pa.int64())})
 
     part = docs.select(F.col(text).cast("string").cast("binary")).mapInArrow(task, "n_tokens long, n_docs long")

@@ -11,10 +11,12 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CACHE_WORDS = 250_000  # in each of two generations, about 200 bytes a word
+CACHE_WORDS = 300_000  # in each of two generations, about 200 bytes a word
 LONGEST_CACHED = 64
 ODD = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 MARKS = frozenset(".,;:!?")
@@ -41,6 +43,7 @@ class WordTokenizer:
             vocab = json.load(f)["model"]["vocab"]
         self._ends = np.zeros(1 << 16, bool)
         self._ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+        self._marks = dict(zip(sorted(MARKS), self._plain(sorted(MARKS)), strict=True))
         self._ids: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -58,46 +61,62 @@ class WordTokenizer:
 
     def _learn(self, distinct: set[str]) -> None:
         missing = distinct.difference(self._ids)
-        if len(self._ids) + 2 * len(missing) > CACHE_WORDS:
+        if len(self._ids) + len(missing) > CACHE_WORDS:
             self._ids, self._old, missing = {}, self._ids, distinct
-        ids, old = self._ids, self._old
-        closed = [w for w in missing if w[-1] in MARKS and _letters(w[:-1])]
-        need = (missing.difference(closed)).union(w[:-1] for w in closed).union(w[-1] for w in closed)
-        need = {w for w in need if w not in ids}
-        ids.update((w, old[w]) for w in need if w in old)
-        need = {w for w in need if w not in ids}
-        for some, encode in (([w for w in need if _letters(w)], self._words), ([w for w in need if not _letters(w)], self._plain)):
+        ids, old, closed, letters, others = self._ids, self._old, [], [], []
+        for w in missing:
+            if w[-1] in MARKS and _letters(stem := w[:-1]):
+                closed.append(w)
+                w = stem
+            if w in ids:
+                continue
+            if (known := old.get(w)) is not None:
+                ids[w] = known
+            else:
+                ids[w] = b""  # asked for once
+                (letters if _letters(w) else others).append(w)
+        for some, encode in ((letters, self._words), (others, self._plain)):
             if some:
                 ids.update(zip(some, encode(some), strict=True))
         for w in closed:
-            ids[w] = ids[w[:-1]] + ids[w[-1]]
-
-    def packed(self, text: bytes | None) -> bytes:
-        """The ids of a UTF-8 text, as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if any(x in text for x in ODD):
-            return self._plain([text.decode()])[0]
-        words = text.lower().decode().split()  # of bytes, lower() changes A-Z only
-        try:
-            ids = self._ids
-            return b"".join([ids[w] for w in words])
-        except KeyError:
-            pass
-        distinct = set(words)
-        if any(len(w) > LONGEST_CACHED for w in distinct):
-            return self._plain([text.decode()])[0]
+            ids[w] = ids[w[:-1]] + self._marks[w[-1]]
+
+    def packed_all(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of UTF-8 texts, as little-endian unsigned 32-bit numbers. What they have of new words is learned at once."""
+        out: list[bytes] = [b""] * len(texts)
+        split, distinct = [], set()
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            words = [] if any(x in text for x in ODD) else text.lower().decode().split()  # of bytes, lower() changes A-Z only
+            if not words or max(map(len, words)) > LONGEST_CACHED:
+                out[i] = self._plain([text.decode()])[0]
+            else:
+                split.append((i, words))
+                distinct.update(words)
         self._learn(distinct)
         ids = self._ids
-        return b"".join([ids[w] for w in words])
+        for i, words in split:
+            out[i] = b"".join([ids[w] for w in words])
+        return out
+
+    def packed(self, text: bytes | None) -> bytes:
+        return self.packed_all([text])[0]
 
-    def count(self, text: bytes | None) -> int:
-        return len(self.packed(text)) >> 2
+    def counts(self, texts: list[bytes | None]) -> list[int]:
+        return [len(x) >> 2 for x in self.packed_all(texts)]
 
 
+TOGETHER = 2  # texts whose words are looked up at once
 _made: dict[str, WordTokenizer] = {}
 
 
+def slices(column: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
+    """A column's values, some at once, and where they start."""
+    for at in range(0, len(column), TOGETHER):
+        yield at, column.slice(at, TOGETHER).to_pylist()
+
+
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per Python worker, so its cache outlives a task."""
     if path not in _made:
