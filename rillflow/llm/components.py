@@ -10,38 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import drop, stored
+from rillflow.llm.store import Held, drop, partitions, stored
 
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` has the columns a and b, of one orderable type. Result: node and label (the component's least node), for every
-    node that a link to another node names. Links to itself, repeated links and nulls change nothing."""
-    spark, made = links.sparkSession, []
+    node that a link to another node names, as a table. Links to itself, repeated links and nulls change nothing."""
+    spark, held, labels, paths = links.sparkSession, Held(), None, []
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out, path = stored(df, name)
-        made.append(path)
+    def write(df: DataFrame, name: str) -> DataFrame:
+        # far fewer bytes than the documents they come from, so fewer files too
+        out, path = stored(df.coalesce(max(8, partitions(spark) // 8)), name)
+        paths.append(path)
         return out
 
-    edges = keep(links.select("a", "b").where("a != b").distinct(), "edges")
-    labels = None
+    edges = write(links.select("a", "b").where("a != b").distinct(), "edges")
     while edges.take(1):
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        parents = keep(both.groupBy("node").agg(F.min("other").alias("p")).select("node", F.least("node", "p").alias("parent")), "parents")
+        parents = held.keep(both.groupBy("node").agg(F.min("other").alias("p")).select("node", F.least("node", "p").alias("parent")))
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("up"))
         for _ in range(2):
             parents = parents.join(up, "parent").select("node", F.col("up").alias("parent"))
-        parents = keep(parents, "parents")
+        parents = held.keep(parents)
         as_a, as_b = (parents.select(F.col("node").alias(c), F.col("parent").alias(f"p{c}")) for c in "ab")
-        edges = keep(edges.join(as_a, "a").join(as_b, "b").where("pa != pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
-        if labels is None:
-            labels = parents.withColumnRenamed("parent", "label")
-        else:
+        before, paths = paths, []
+        edges = write(edges.join(as_a, "a").join(as_b, "b").where("pa != pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        if labels is not None:
             to = parents.select(F.col("node").alias("label"), F.col("parent").alias("to"))
-            labels = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        labels = keep(labels, "labels")
+            parents = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("parent"))
+        labels = write(parents.select("node", F.col("parent").alias("label")), "labels")
+        held.release()
+        for path in before:
+            drop(spark, path)
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("a").alias("label")).where("false")
-    for path in made[:-1]:
-        drop(spark, path)
     return labels

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.components import components
-from rillflow.llm.store import drop, stored, table
+from rillflow.llm.store import Held, drop, small_batches, stored, table
 
 WORDS_CACHED = 100_000
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
@@ -162,24 +162,24 @@ def _block(percent: int):
     return run
 
 
-def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, keep) -> DataFrame:
+def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, held: Held) -> DataFrame:
     """Links (a, b) of row ids among the sets of families. ``wanted`` has family, uid, n and class; sets_of(rows) adds the
     sets (grams) to rows with a class. Sets travel only to where they are multiplied."""
     sizes = wanted.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("grams_all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("grams_all") / BLOCK_GRAMS))
-    wanted = keep(wanted.join(sizes.select("family", blocks.alias("blocks")), "family"), "sized")
+    wanted = held.keep(wanted.join(sizes.select("family", blocks.alias("blocks")), "family"))
     alone = sets_of(wanted.where("blocks = 1").select("class", "family", "uid", F.lit(0).alias("side")))
-    small = keep(alone.groupBy("family").applyInPandas(_block(percent), "a long, b long"), "small")
+    small = held.keep(alone.groupBy("family").applyInPandas(_block(percent), "a long, b long"))
     big = wanted.where("blocks > 1")
     if not big.take(1):
         return small
-    sets = keep(sets_of(big.select("class", "uid")).select("uid", "grams"), "sets")
+    sets = held.keep(sets_of(big.select("class", "uid")).select("uid", "grams"))
     big = big.withColumn("block", F.expr("pmod(xxhash64(uid), blocks)"))
     copies = members.groupBy(F.col("rep").alias("uid")).agg(F.count("*").alias("copies"))
     ranks = big.join(copies, "uid").withColumn("r", F.expr("row_number() over (partition by family order by copies desc, n desc, uid)"))
     leaders = ranks.where(F.col("r") <= LEADERS).select("family", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "uid", F.lit(1).alias("side"))
     star_rows = big.select("family", "block", "uid", F.lit(0).alias("side")).unionByName(leaders)
-    star = keep(star_rows.join(sets, "uid").groupBy("family", "block").applyInPandas(_block(percent), "a long, b long"), "star")
+    star = held.keep(star_rows.join(sets, "uid").groupBy("family", "block").applyInPandas(_block(percent), "a long, b long"))
     joined = components(star)
     big = big.join(joined.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     size = big.groupBy("label").agg(F.count("*").alias("c"), F.sum("n").alias("g"))
@@ -188,12 +188,12 @@ def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, keep
     # a block of one component is never multiplied with another of the same; the rest share blocks, dealt by hash
     mixed = F.expr("struct(-1L as of, pmod(xxhash64(uid), blocks) as nr)")
     pure = F.expr("struct(label as of, pmod(xxhash64(uid), pieces) as nr)")
-    big = keep(big.withColumn("part", F.when(F.col("pieces").isNotNull(), pure).otherwise(mixed)).select("family", "part", "uid"), "parts")
+    big = held.keep(big.withColumn("part", F.when(F.col("pieces").isNotNull(), pure).otherwise(mixed)).select("family", "part", "uid"))
     parts = big.select("family", "part").distinct()
     pairs = parts.join(parts.withColumnRenamed("part", "q"), "family").where("part <= q and not (part.of = q.of and part.of >= 0)")
     pairs = pairs.selectExpr("family", "part", "q", "explode(if(part = q, array(0), array(0, 1))) side").withColumn("mine", F.expr("if(side = 0, part, q)"))
     sides = pairs.join(big.withColumnRenamed("part", "mine"), ["family", "mine"]).select("family", "part", "q", "side", "uid").join(sets, "uid")
-    cross = keep(sides.groupBy("family", "part", "q").applyInPandas(_block(percent), "a long, b long"), "cross")
+    cross = sides.groupBy("family", "part", "q").applyInPandas(_block(percent), "a long, b long")
     return small.unionByName(star).unionByName(cross)
 
 
@@ -202,7 +202,8 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     ``broadcast_rows`` of them, keys that several sets have and ids of exact copies up to
     ``broadcast_keys``; beyond, they are joined by a shuffle."""
     spark = docs.sparkSession
-    keep = table
+    small_batches(spark)
+    held = Held()
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,16 +216,15 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     signed, signed_path = stored(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
     rows = signed.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
     classes = rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"))
-    members = keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")), "members")
+    members = held.keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")))
     copies = members.where("uid != rep").select("uid")
     copies = F.broadcast(copies) if copies.count() <= broadcast_keys else copies
     exploded = signed.join(copies, "uid", "left_anti").select("uid", F.explode("keys").alias("key"))
-    shared = keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"), "shared")
+    shared = held.keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"))
     meet = exploded.join(F.broadcast(shared) if shared.count() <= broadcast_keys else shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
-    families = keep(components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family")), "family")
-    drop(spark, signed_path)
+    families = components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family"))
 
-    wanted = keep(families.join(members.where("uid = rep"), "uid").select("uid", "family", "n", "doc_id", "class"), "wanted")
+    wanted = held.keep(families.join(members.where("uid = rep"), "uid").select("uid", "family", "n", "doc_id", "class"))
     few = wanted.count() <= broadcast_rows
     maybe = F.broadcast if few else lambda df: df
 
@@ -243,9 +243,12 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
         texts = source.join(ids, source.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text")
         return texts.mapInArrow(grams, "class binary, grams binary").join(maybe(rows), "class").drop("class")
 
-    links = _families(wanted, members, sets_of, percent, keep)
+    links = _families(wanted, members, sets_of, percent, held)
     # what joins the documents: links between classes, and rows that are of one class or of one doc_id
     found = components(links)
     by_rep = members.join(found.select(F.col("node").alias("rep"), "label"), "rep", "left").select("uid", "doc_id", "n", F.coalesce("label", "rep").alias("label"))
     least = by_rep.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return by_rep.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    out = table(by_rep.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id"), "joined")
+    held.release()
+    drop(spark, signed_path)
+    return out
