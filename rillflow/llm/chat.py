@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import partitions
+from rillflow.llm.store import partitions, small_batches
 
 #: The template's control strings in the order of their reserved ids, which follow the vocabulary's; fixed values.
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ASST]", "[/ASST]", "[ROLE]", "[/ROLE]", "[END]"]
@@ -101,6 +101,7 @@ PARTS = "conv_id long, part long, ids array<int>, loss array<boolean>"
 def format_chats(turns: DataFrame, ranks: str | None = None) -> DataFrame:
     """conv_id, part, ids and loss (a truth value for each id)."""
     path = ranks or default_ranks()
+    small_batches(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
     dealt = rows.repartition(partitions(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 

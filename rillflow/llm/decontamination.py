@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm.store import small_batches
+
 SCHEMA = "doc_id long, item_id long, edits long, item_words long, last_word long"
 ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
 PLACES, MOST_ROUNDS, TRIALS, FREE_WORDS = 2, 64, 400, 10
@@ -223,6 +225,7 @@ _made: dict[int, Index] = {}
 def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, min_words: int = 5, target_recall: float = 0.99, block_items: int = 20_000) -> DataFrame:
     """doc_id, item_id, edits, item_words and last_word (of the best stretch), a row for each document and item it leaks."""
     sc = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     blocks = max(1, -(-items.count() // block_items))
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

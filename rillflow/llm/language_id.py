@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import table
+from rillflow.llm.store import small_batches, table
 
 ORDER, BITS = 4, 6
 PAD = ORDER - 1
@@ -80,16 +80,18 @@ def codes(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Distinct:
-    """Finds the distinct codes of a batch, sorted, and each code's place in them. Its tables (80 MB) live as long as a task."""
+    """Finds the distinct codes of a batch, sorted, and each code's place in them. Its tables (48 MB) live as long as a task."""
 
     def __init__(self) -> None:
-        self.seen, self.place = np.zeros(1 << (BITS * ORDER), bool), np.empty(1 << (BITS * ORDER), np.int32)
+        self.seen, self.place = np.zeros(1 << (BITS * ORDER), bool), np.empty(1 << (BITS * ORDER), np.uint16)
 
     def __call__(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.seen[code] = True
         found = np.flatnonzero(self.seen)
         self.seen[found] = False
-        self.place[found] = np.arange(len(found), dtype=np.int32)
+        if len(found) > 1 << 16:
+            return found, np.searchsorted(found, code)
+        self.place[found] = np.arange(len(found), dtype=np.uint16)
         return found, self.place[code]
 
 
@@ -264,6 +266,7 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 2.0, *keep
     columns ``keep``. Rejected are texts without letters and those whose cross-entropy is more than ``slack`` times what a share
     ``quantile`` of training documents stays under, with an allowance for short texts: they look like none of the languages."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *keep).withColumn("held_out", held_out())
+    small_batches(docs.sparkSession)
     models = train(rows.where("not held_out and lang is not null and text is not null"))
     scored = table(score(rows, models, "text", "doc_id", "lang", "held_out", *keep), "scored")
     fit = Calibration(scored, quantile, slack)

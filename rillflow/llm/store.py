@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -50,5 +51,32 @@ def drop(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+class Held:
+    """Frames that several steps read, kept on the executors' disks until release(). What a lost executor held is computed again from
+    its lineage, which reaches back to tables only."""
+
+    def __init__(self) -> None:
+        self._frames: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._frames.append(df.persist(StorageLevel.DISK_ONLY))
+        return df
+
+    def release(self) -> None:
+        for df in self._frames:
+            df.unpersist()
+        self._frames.clear()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+ROWS_AT_ONCE = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on rows of an Arrow batch, as rows here hold whole texts; results don't depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import new_path, table
+from rillflow.llm.store import new_path, small_batches, table
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
@@ -151,6 +151,7 @@ def plan(pages: DataFrame, least_bytes: int = 100, broadcast_rows: int = 200_000
     ``broadcast_rows``, and joined by a shuffle beyond."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
+    small_batches(pages.sparkSession)
     equal = rows.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     equal = table(equal, "equal")
     equal = F.broadcast(equal) if equal.count() <= broadcast_rows else equal
