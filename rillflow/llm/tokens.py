@@ -16,7 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CACHE_WORDS = 300_000  # in each of two generations, about 200 bytes a word
+from rillflow.llm import worker
+
+CACHE_WORDS = 450_000  # in each of two generations, about 200 bytes a word
 LONGEST_CACHED = 64
 ODD = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 MARKS = frozenset(".,;:!?")
@@ -107,8 +109,9 @@ class WordTokenizer:
         return [len(x) >> 2 for x in self.packed_all(texts)]
 
 
-TOGETHER = 2  # texts whose words are looked up at once
+TOGETHER = 1  # texts whose words are looked up at once
 _made: dict[str, WordTokenizer] = {}
+worker.caches("tokens", _made.clear)
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
@@ -119,6 +122,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
 
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per Python worker, so its cache outlives a task."""
+    worker.enter("tokens")
     if path not in _made:
         _made[path] = WordTokenizer(path)
     return _made[path]
