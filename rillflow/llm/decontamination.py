@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm import worker
 from rillflow.llm.store import small_batches
 
 SCHEMA = "doc_id long, item_id long, edits long, item_words long, last_word long"
@@ -219,7 +220,8 @@ class Index:
             yield docs[doc][0], self.classes[number].items[i][0], edits, size, last
 
 
-_made: dict[int, Index] = {}
+_made: dict[int, tuple[list, Index]] = {}
+worker.caches("leaks", _made.clear)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, min_words: int = 5, target_recall: float = 0.99, block_items: int = 20_000) -> DataFrame:
@@ -235,6 +237,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, min_wor
         sent = sc.broadcast([(r.item_id, r.text) for r in rows])
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker.enter("leaks")
             key = hash((len(sent.value), max_edits, min_words, target_recall, *sent.value[:50]))
             if key not in _made or _made[key][0] != sent.value:
                 _made.clear()

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm import worker
 from rillflow.llm.store import small_batches, table
 
 ORDER, BITS = 4, 6
@@ -165,6 +166,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """lang, code, n of a table of text and lang."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("languages")
         distinct = Distinct()
         for docs, (langs,) in _in_batches(batches, 1):
             by: dict[str, list[np.ndarray]] = defaultdict(list)
@@ -201,6 +203,7 @@ def score(docs: DataFrame, models: dict[str, Model], text: str = "text", *keep:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("languages")
         distinct = Distinct()
         for docs_, values in _in_batches(batches, *range(1, 1 + len(keep))):
             n = np.array([len(d) for d in docs_])

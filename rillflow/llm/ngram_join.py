@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm import worker
 from rillflow.llm.components import components
 from rillflow.llm.store import Held, drop, small_batches, stored, table
 
@@ -51,6 +52,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+worker.caches("grams", _hashes.clear)
 
 
 def gram_set(text: bytes | None, n: int) -> np.ndarray:
@@ -152,6 +154,7 @@ def _block(percent: int):
     """Links in a block, or between its two sides where there are two; leaders are side 1."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        worker.enter("blocks")
         pdf = pdf.drop_duplicates(["uid", "side"]).sort_values(["side", "uid"], ignore_index=True)
         sets, uid = [np.frombuffer(x, "<u8") for x in pdf.grams], pdf.uid.to_numpy()
         first = int((pdf.side == 0).sum())
@@ -206,6 +209,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     held = Held()
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("grams")
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -229,6 +233,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     maybe = F.broadcast if few else lambda df: df
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("grams")
         seen: set[bytes] = set()  # repeated rows would only repeat a set
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
