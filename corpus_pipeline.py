@@ -16,6 +16,7 @@ from rillflow.llm import decontamination, language_id, ngram_join, packing
 from rillflow.llm.store import table
 
 BROADCAST_IDS = 1_000_000
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -52,8 +53,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @by_row
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each component of the n-gram Jaccard join."""
-    return without(docs, ngram_join.join_components(docs).where("doc_id != component_id"))
+    """Keeps the document with the least id of each component of the Jaccard join over five words at 0.8."""
+    return without(docs, ngram_join.join_components(docs, NEAR_WORDS, NEAR_PERCENT).where("doc_id != component_id"))
 
 
 @by_row

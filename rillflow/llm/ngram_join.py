@@ -8,6 +8,10 @@ overlap of each pair. It is computed in blocks that hold every pair that can pas
    of the sum of their sizes. For a range of sizes that is a number d; cutting the space of n-gram hashes into d + 1 parts,
    at least one part is equal in both sets. A set's key of each part therefore meets that of every partner, and sets that
    share only a common passage or some frequent n-grams don't meet.
+   Below RARE_BELOW percent parts are of a few n-grams only, which common passages fill. There, a set's keys are the rarest of its
+   n-grams: of two sets that link, each lacks at most ``n - ceil(n * percent / 100)`` of its own n in the other, so with all n-grams in
+   one order, one n-gram at least is among the first ``n - ceil(n * percent / 100) + 1`` of both. The order is by the number of sets
+   that have an n-gram, counted over the whole table, so n-grams of common passages come last and those of one set need no key.
 3. Sets that meet form families (components over a link from each set to the least of its key). The overlaps of a family are
    accumulated column block by column block; pairs below the size-derived bound are discarded.
 4. A large family is first held against a few leaders; what links with one is joined at once. Then only blocks whose
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,15 +36,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm import worker
 from rillflow.llm.components import components
-from rillflow.llm.store import Held, drop, small_batches, stored, table
+from rillflow.llm.store import Held, drop, partitions, small_batches, stored, table
 
 WORDS_CACHED = 100_000
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
+RARE_BELOW, SLICE_DOCS, SLICE_GRAMS, BUCKET_GRAMS, WORD_CHARS = 90, 1 << 16, 1_000_000, 1_000_000, 6
+_LOW = np.uint64(0xFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -104,6 +112,117 @@ def part_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def rarest_keys(doc: np.ndarray, grams: np.ndarray, counts: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (indexes of sizes) and keys, of which two sets that link share one at least. ``grams`` are those that more than
+    one set has, each with its document and how many have it; the others of a document's ``sizes`` come before them."""
+    order = np.lexsort((grams, counts, doc))
+    doc, grams = doc[order], grams[order]
+    shared = np.bincount(doc, minlength=len(sizes))
+    rank = np.arange(len(doc)) - (np.cumsum(shared) - shared)[doc]
+    first = sizes - (sizes * percent + 99) // 100 + 1 - (sizes - shared)
+    kept = rank < first[doc]
+    doc, grams = doc[kept], grams[kept]
+    starts, n = np.array(size_classes(percent)), sizes[doc]
+    own, docs, keys = np.searchsorted(starts, n, "right") - 1, [], []
+    for c in (own, own + 1):
+        differ = 2 * (starts[c + 1] - 1) * (100 - percent) // (100 + percent)
+        some = (differ > 0) & ((c == own) | (100 * n >= percent * starts[c]))
+        key = (grams[some] * _ODD[3]) ^ (c[some].astype(np.uint64) * _ODD[4])
+        docs.append(doc[some])
+        keys.append((key ^ (key >> np.uint64(32))) * _ODD[5])
+    return np.concatenate(docs), np.concatenate(keys).view(np.int64)
+
+
+def _rarest(source: DataFrame, n: int, percent: int, held: Held) -> tuple[DataFrame, str, DataFrame]:
+    """A table with uid, doc_id, n and class of each row of source (doc_id, text), its path, and keys (uid, key) by rarity.
+
+    N-grams travel in slices of some documents, cut into buckets by their leading bits: 48 bits of an n-gram and the document's place in
+    its slice are one number. N-grams that agree in 48 bits are counted and keyed as one, which only adds keys in common."""
+    chars = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(partitions(source.sparkSession), chars // (WORD_CHARS * BUCKET_GRAMS) + 1)
+    cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64) & ~_LOW
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("grams")
+        nr, at, size, packed = TaskContext.get().partitionId() << 32, 0, 0, []
+
+        def slice_() -> pa.RecordBatch:
+            all_ = np.sort(np.concatenate(packed))
+            ends = np.concatenate([[0], np.searchsorted(all_, cuts), [len(all_)]])
+            some = np.flatnonzero(ends[1:] > ends[:-1])
+            blobs = [all_[ends[b] : ends[b + 1]].tobytes() for b in some]
+            none = pa.nulls(len(some), pa.int64())
+            return pa.record_batch([pa.array(some, pa.int64()), none, none, pa.nulls(len(some), pa.binary()), pa.array([nr] * len(some), pa.int64()), none, pa.array(blobs, pa.binary())], names=CUT)
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                sets = [gram_set(x.as_py(), n) for x in part.column(1)]
+                nrs, ats, full = [], [], []
+                for s in sets:
+                    packed.append((s & ~_LOW) | np.uint64(at))
+                    nrs.append(nr)
+                    ats.append(at)
+                    at, size = at + 1, size + len(s)
+                    if at == SLICE_DOCS or size >= SLICE_GRAMS:
+                        full.append(slice_())
+                        nr, at, size, packed = nr + 1, 0, 0, []
+                slices = pa.array(nrs, pa.int64())
+                yield pa.record_batch([pa.array([(x + a) % buckets for x, a in zip(nrs, ats, strict=True)], pa.int64()), part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_hash(s) for s in sets], pa.binary()), slices, pa.array(ats, pa.int64()), pa.nulls(len(sets), pa.binary())], names=CUT)
+                yield from full
+        if size:
+            yield slice_()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("rarest")
+        nrs, blobs = [], []
+        for batch in batches:
+            docs = batch.filter(batch.column(6).is_null())
+            if docs.num_rows:
+                yield pa.record_batch([*docs.columns[1:], pa.nulls(docs.num_rows, pa.binary())], names=COUNTED)
+            some = batch.filter(batch.column(6).is_valid())
+            nrs += some.column(4).to_pylist()
+            blobs += [np.frombuffer(x.as_py(), "<u8") for x in some.column(6)]
+        if not blobs:
+            return
+        ends = np.cumsum([len(b) for b in blobs])
+        all_ = np.concatenate(blobs)
+        del blobs
+        _, which, times = np.unique(all_ >> np.uint64(16), return_inverse=True, return_counts=True)
+        counts = np.minimum(times, 0xFFFFFFFF).astype("<u4")[which]
+        for nr, lo, hi in zip(nrs, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            shared = counts[lo:hi] > 1
+            if shared.any():
+                row = [None, None, None, nr, None, all_[lo:hi][shared].tobytes(), counts[lo:hi][shared].tobytes()]
+                yield pa.record_batch([pa.array([x], f) for x, f in zip(row, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=COUNTED)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("rarest")
+        docs: dict[int, list] = defaultdict(list)
+        blobs: dict[int, list] = defaultdict(list)
+        for batch in batches:
+            for uid, size, nr, at, blob, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if blob is None:
+                    docs[nr].append((at, uid, size))
+                else:
+                    blobs[nr].append((np.frombuffer(blob, "<u8"), np.frombuffer(counts, "<u4")))
+        for nr, some in blobs.items():
+            uids, sizes = (np.array(x, np.int64) for x in list(zip(*sorted(docs[nr]), strict=True))[1:])
+            all_, counts = (np.concatenate(x) for x in zip(*some, strict=True))
+            doc, keys = rarest_keys((all_ & _LOW).astype(np.int64), all_ >> np.uint64(16), counts, sizes, percent)
+            yield pa.record_batch({"uid": pa.array(uids[doc], pa.int64()), "key": pa.array(keys, pa.int64())})
+
+    dealt = source.mapInArrow(cut, "bucket long, doc_id long, n long, class binary, slice long, at long, blob binary").repartition(buckets, "bucket")
+    counted = dealt.mapInArrow(count, "doc_id long, n long, class binary, slice long, at long, blob binary, counts binary")
+    whole, path = stored(counted.withColumn("uid", F.monotonically_increasing_id()), "signed")
+    keys = whole.select("uid", "n", "slice", "at", "blob", "counts").repartition(buckets, "slice").mapInArrow(choose, "uid long, key long").distinct()
+    return whole.where("at is not null"), path, held.keep(keys)
+
+
+CUT = ["bucket", "doc_id", "n", "class", "slice", "at", "blob"]
+COUNTED = [*CUT[1:], "counts"]
+
+
 def linked(rows: list[np.ndarray], cols: list[np.ndarray] | None, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of row and column sets (of row sets with each other, if cols is None) that link, for some rows at a time. Overlap
     counts are accumulated over blocks of n-grams."""
@@ -217,13 +336,17 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
                 yield pa.record_batch({"doc_id": part.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "class": pa.array([class_hash(s) for s in sets], pa.binary()), "keys": pa.array([part_keys(s, percent) for s in sets], pa.list_(pa.int64()))})
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    signed, signed_path = stored(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
+    if percent < RARE_BELOW:
+        signed, signed_path, keyed = _rarest(source, n, percent, held)
+    else:
+        signed, signed_path = stored(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
+        keyed = signed.select("uid", F.explode("keys").alias("key"))
     rows = signed.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
     classes = rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"))
     members = held.keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")))
     copies = members.where("uid != rep").select("uid")
     copies = F.broadcast(copies) if copies.count() <= broadcast_keys else copies
-    exploded = signed.join(copies, "uid", "left_anti").select("uid", F.explode("keys").alias("key"))
+    exploded = keyed.join(copies, "uid", "left_anti")
     shared = held.keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"))
     meet = exploded.join(F.broadcast(shared) if shared.count() <= broadcast_keys else shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
     families = components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family"))

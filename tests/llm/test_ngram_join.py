@@ -121,3 +121,17 @@ def test_components(spark, links):
 def test_long_chain(spark):
     got = components(spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"))
     assert {r.label for r in got.collect()} == {0} and got.count() == 301
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=25), min_size=1, max_size=25), st.sampled_from([60, 80, 85]))
+def test_linked_sets_share_a_rare_key(sets, percent):
+    grams = np.array([g for s in sets for g in s], np.uint64)
+    doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, times = np.unique(grams, return_inverse=True, return_counts=True)
+    shared = times[which] > 1
+    at, keys = nj.rarest_keys(doc[shared], grams[shared], times[which][shared], np.array([len(s) for s in sets]), percent)
+    of = [set(keys[at == i].tolist()) for i in range(len(sets))]
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+            assert of[i] & of[j]

@@ -69,3 +69,16 @@ def test_odd_rows(spark, tmp_path, stage):
         assert not stage == 0 or not any(r.text is None for r in kept)
         assert not stage == 1 or sum(r.doc_id == 1 and r.text == rows[1][1] for r in kept) <= 1
     assert cp.STAGES[stage][1](spark, df.where("false"), str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_at_five_words_and_four_fifths(spark, tmp_path):
+    """One word of 52 and two of 100 changed: under 0.9 of three words, over 0.8 of five."""
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randrange(10_000)}" for _ in range(n)]
+    a, b, c = text(52), text(100), text(40)
+    near = [a, [*a[:20], "x", *a[21:]], b, [*b[:30], "x", *b[31:60], "y", *b[61:]], c, [*c[:20], "x", *c[21:]]]
+    rows = [(i, " ".join(w), "en", "s", 1) for i, w in enumerate(near)]
+    kept = {r.doc_id for r in cp.near_duplicate_stage(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()}
+    parts = brute([r[:2] for r in rows], 5, 80)
+    assert kept == {i for i, (_, least) in parts.items() if i == least} == {0, 2, 4, 5}
+    assert {i for i, (_, least) in brute([r[:2] for r in rows]).items() if i == least} == {0, 1, 2, 3, 4, 5}
