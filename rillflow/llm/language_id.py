@@ -5,9 +5,9 @@ run of anything else is one gap. A model per language gives the probability of a
 
 1. Each task counts 4-grams of its documents per language, and the counts are added up over the whole corpus. Lower orders
    need no scan: Kneser-Ney takes them from the distinct 4-grams.
-2. A language's model is sorted arrays of n-gram hashes with log probabilities and back-off weights. Where the distinct
-   4-grams of all languages are more than ``model_entries``, the rarest are left to lower orders, so the models that are sent
-   to the tasks have a known size.
+2. A language's model is sorted arrays of n-gram hashes with log probabilities and back-off weights, from all counts of the
+   language. There are at most 2**24 4-grams of these symbols, so a model is at most some 150 MB. Languages whose models together
+   have more than BROADCAST_ENTRIES 4-grams are dealt to several passes over the documents, whose results are merged.
 3. Texts are scored by cross-entropy per symbol under each language, the least winning. A batch looks up its distinct 4-grams
    by binary search and then only adds up.
 4. Scores are calibrated on every labelled training document: the share of right answers in bins of (gap to the second best
@@ -37,6 +37,7 @@ PAD = ORDER - 1
 BATCH_SYMBOLS = 500_000
 UNKNOWN = "und"
 SHORT = 4.0  # nats times the root of the length
+BROADCAST_ENTRIES, CHUNK = 8_000_000, 1_000_000
 
 
 def _symbols() -> np.ndarray:
@@ -102,25 +103,37 @@ class Model:
 
     def __init__(self, code: np.ndarray, count: np.ndarray, least: int):
         order = np.argsort(code)
-        grams, counts = [code[order].astype(np.int64)], [count[order].astype(np.float64)]
+        grams, counts = [code[order]], [count[order]]
+        del order
         for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many distinct contexts a shorter gram occurs
             g, c = np.unique(grams[0] & ((1 << (BITS * k)) - 1), return_counts=True)
             grams.insert(0, g)
-            counts.insert(0, c.astype(np.float64))
+            counts.insert(0, c)
         self.grams, self.logp, self.back = [], [], []
         base = np.full(1 << BITS, 1 / (1 << BITS))
         lower = lambda g: base[g]
         for k, (g, c) in enumerate(zip(grams, counts, strict=True)):
             n1, n2 = (c == 1).sum(), (c == 2).sum()
             d = np.clip(n1 / max(1, n1 + 2 * n2), 0.1, 0.9)
-            contexts, at, kinds = np.unique(g >> BITS, return_inverse=True, return_counts=True)
-            total = np.bincount(at, c)
-            weight = d * kinds / total
-            p = (c - d) / total[at] + weight[at] * lower(g & ((1 << (BITS * k)) - 1) if k else g)
+            p, logp, contexts, back, start = np.empty(len(g) if k < ORDER - 1 else 0), np.empty(len(g), np.float32), [], [], 0
+            while start < len(g):  # whole contexts, some at a time
+                stop = min(start + CHUNK, len(g))
+                stop = int(np.searchsorted(g, (int(g[stop - 1]) >> BITS) + 1 << BITS)) if stop < len(g) else stop
+                x, n = g[start:stop], c[start:stop].astype(np.float64)
+                some, at, kinds = np.unique(x >> BITS, return_inverse=True, return_counts=True)
+                total = np.bincount(at, n)
+                weight = d * kinds / total
+                own = (n - d) / total[at] + weight[at] * lower(x & ((1 << (BITS * k)) - 1) if k else x)
+                logp[start:stop] = np.log(own)
+                if k < ORDER - 1:
+                    p[start:stop] = own
+                contexts.append(some)
+                back.append(np.log(weight).astype(np.float32))
+                start = stop
             kept = c >= least if k == ORDER - 1 else np.ones(len(g), bool)
             self.grams.append(g[kept])
-            self.logp.append(np.log(p[kept]).astype(np.float32))
-            self.back.append((contexts, np.log(weight).astype(np.float32)))
+            self.logp.append(logp[kept])
+            self.back.append((np.concatenate(contexts), np.concatenate(back)))
             lower = lambda x, g=g, p=p, b=base: self._exact(x, g, p)
 
     @staticmethod
@@ -130,7 +143,7 @@ class Model:
 
     def scores(self, code: np.ndarray) -> np.ndarray:
         """Log probabilities of the last symbols of 4-grams, by binary search, backing off where a gram is missing."""
-        out = np.zeros(len(code), np.float32)
+        code, out = code.astype(self.grams[-1].dtype), np.zeros(len(code), np.float32)
         open_ = np.arange(len(code))
         for k in range(ORDER - 1, -1, -1):
             g = code[open_] & ((1 << (BITS * (k + 1))) - 1)
@@ -180,24 +193,73 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return texts.select("text", "lang").mapInArrow(task, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, model_entries: int = 8_000_000) -> dict[str, Model]:
-    """Models of a table of text and lang (both not null). At most ``model_entries`` counts come to the driver: counts below a
-    power of two that is as low as this allows are left out there."""
+def _sizes(counts: DataFrame) -> dict[str, int]:
+    return {r.lang: r.c for r in counts.groupBy("lang").agg(F.count("*").alias("c")).collect()}
+
+
+def _model(counts: DataFrame, lang: str, least: int = 1) -> Model:
+    got = counts.where(F.col("lang") == lang).select("code", "n").toArrow()
+    return Model(got.column("code").to_numpy(), got.column("n").to_numpy(), least)
+
+
+def train(texts: DataFrame, model_entries: int | None = None) -> dict[str, Model]:
+    """Models of a table of text and lang (both not null), from all counts. With ``model_entries``, 4-grams below a power of two that
+    is as low as this allows are then left out of the models; discounts and lower orders still come from all."""
     counts = table(count_grams(texts), "grams")
-    size = {r.lang: r.c for r in counts.groupBy("lang").agg(F.count("*").alias("c")).collect()}
-    least = 1
-    while least == 1 and sum(size.values()) > model_entries or least > 1 and counts.where(F.col("n") >= least).count() > model_entries:
+    size, least = _sizes(counts), 1
+    while model_entries is not None and counts.where(F.col("n") >= least).count() > model_entries:
         least *= 2
-    got = (counts.where(F.col("n") >= least) if least > 1 else counts).toArrow()
-    lang, code, n = got.column("lang").to_pandas(), got.column("code").to_numpy(), got.column("n").to_numpy()
-    return {x: Model(code[rows], n[rows], least) for x, rows in sorted(lang.groupby(lang).indices.items())}
+    return {x: _model(counts, x, least) for x in sorted(size)}
+
+
+def shards(size: dict[str, int], entries: int) -> list[list[str]]:
+    """Languages by the pass that scores them; more than ``entries`` 4-grams only where one language alone has more."""
+    out, room = [], 0
+    for x in sorted(size):
+        if not out or size[x] > room:
+            out.append([])
+            room = entries
+        out[-1].append(x)
+        room -= size[x]
+    return out
 
 
-SCORED = "lang_pred string, entropy double, lead double, n_symbols long"
+SCORED = "lang_pred string, entropy double, second double, n_symbols long"
 
 
 def score(docs: DataFrame, models: dict[str, Model], text: str = "text", *keep: str) -> DataFrame:
     """The columns ``keep`` with the best language, its cross-entropy per symbol, the second best's more, and the symbols."""
+    return _lead(_best_two(docs, models, text, *keep), *keep)
+
+
+def _lead(scored: DataFrame, *keep: str) -> DataFrame:
+    alone = F.when(F.col("lang_pred") == UNKNOWN, 0.0).otherwise(1.0)
+    return scored.select(*keep, "lang_pred", "entropy", F.coalesce(F.col("second") - F.col("entropy"), alone).alias("lead"), "n_symbols")
+
+
+def score_all(docs: DataFrame, counts: DataFrame, text: str = "text", *keep: str) -> DataFrame:
+    """Like :func:`score` under the models of all languages of ``counts``, in as many passes as their size asks for. The text of
+    documents is written once more where there are several."""
+    groups = shards(_sizes(counts), BROADCAST_ENTRIES)
+    if len(groups) < 2:
+        return score(docs, {x: _model(counts, x) for group in groups for x in group}, text, *keep)
+    nr = "row_"
+    while nr in docs.columns:
+        nr += "_"
+    rows = table(docs.select(text, *keep).withColumn(nr, F.monotonically_increasing_id()), "numbered")
+    parts = [table(_best_two(rows, {x: _model(counts, x) for x in group}, text, nr), "scored") for group in groups]
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    first, second = F.struct(F.col("entropy").alias("e"), F.col("lang_pred").alias("l")), F.struct(F.col("second").alias("e"), F.lit("\U0010ffff").alias("l"))
+    both = F.when(F.col("second").isNull(), F.array(first)).otherwise(F.array(first, second))
+    merged = found.groupBy(nr).agg(F.array_sort(F.flatten(F.collect_list(both))).alias("all"), F.max("n_symbols").alias("n_symbols"))
+    known = F.col("n_symbols") > 0
+    merged = merged.select(nr, F.col("all")[0]["l"].alias("lang_pred"), F.col("all")[0]["e"].alias("entropy"), F.when(known, F.col("all")[1]["e"]).alias("second"), "n_symbols")
+    return _lead(rows.drop(text).join(merged, nr), *keep)
+
+
+def _best_two(docs: DataFrame, models: dict[str, Model], text: str, *keep: str) -> DataFrame:
     names, sent = sorted(models), docs.sparkSession.sparkContext.broadcast(models)
     kept = docs.select(*keep).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
@@ -208,18 +270,18 @@ def score(docs: DataFrame, models: dict[str, Model], text: str = "text", *keep:
         for docs_, values in _in_batches(batches, *range(1, 1 + len(keep))):
             n = np.array([len(d) for d in docs_])
             some = [d for d in docs_ if len(d)]
-            best, lead, who = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n), int)
+            best, second, who = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n), int)
             if some and names:
                 code, firsts = codes(some)
                 found, at = distinct(code)
                 each = np.stack([-np.add.reduceat(sent.value[x].scores(found)[at], firsts, dtype=np.float64) for x in names]) / (n[n > 0] + 1)
                 who[n > 0] = each.argmin(0)
                 each.sort(0)
-                best[n > 0], lead[n > 0] = each[0], (each[1] - each[0] if len(names) > 1 else 1.0)
+                best[n > 0], second[n > 0] = each[0], each[min(1, len(names) - 1)]
             known = (n > 0) & bool(names)
             pred = [names[w] if k else UNKNOWN for w, k in zip(who.tolist(), known.tolist(), strict=True)]
             own = [pa.array(v) for v in values]
-            yield pa.record_batch([*own, pa.array(pred, pa.string()), pa.array(best), pa.array(lead), pa.array(n, pa.int64())], names=[*keep, "lang_pred", "entropy", "lead", "n_symbols"])
+            yield pa.record_batch([*own, pa.array(pred, pa.string()), pa.array(best), pa.array(second, mask=~known | (len(names) < 2)), pa.array(n, pa.int64())], names=[*keep, "lang_pred", "entropy", "second", "n_symbols"])
 
     return docs.select(F.col(text).cast("string"), *keep).mapInArrow(task, f"{fields}, {SCORED}" if fields else SCORED)
 
@@ -270,8 +332,8 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 2.0, *keep
     ``quantile`` of training documents stays under, with an allowance for short texts: they look like none of the languages."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *keep).withColumn("held_out", held_out())
     small_batches(docs.sparkSession)
-    models = train(rows.where("not held_out and lang is not null and text is not null"))
-    scored = table(score(rows, models, "text", "doc_id", "lang", "held_out", *keep), "scored")
+    counts = table(count_grams(rows.where("not held_out and lang is not null and text is not null")), "grams")
+    scored = table(score_all(rows, counts, "text", "doc_id", "lang", "held_out", *keep), "scored")
     fit = Calibration(scored, quantile, slack)
     # a short text's mean is uncertain; it must pass the bound by more
     rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") - SHORT / F.sqrt(F.col("n_symbols") + 1) > fit.bound)

@@ -103,3 +103,25 @@ def test_entries_are_bounded_by_leaving_out_rare_grams(spark):
     assert sum(len(m.grams[3]) for m in small.values()) <= 400 < sum(len(m.grams[3]) for m in full.values())
     scored = li.score(df, small, "text", "lang").collect()
     assert np.mean([r.lang == r.lang_pred for r in scored]) > 0.9
+
+
+def test_all_counts_make_the_lower_orders(spark):
+    df = spark.createDataFrame(made(200), "doc_id long, text string, lang string")
+    full, small = li.train(df), li.train(df, model_entries=400)
+    for x, m in full.items():
+        for k in range(3):
+            assert np.array_equal(m.grams[k], small[x].grams[k]) and np.array_equal(m.logp[k], small[x].logp[k])
+        kept = np.isin(m.grams[3], small[x].grams[3])
+        assert np.array_equal(m.logp[3][kept], small[x].logp[3])
+
+
+def test_several_passes_give_the_same_rows(spark, monkeypatch):
+    rows = [*made(150), (1000, None, "aa"), (1001, "12 34", "bb"), (None, "ba be", "aa"), (7, "eau ou", "cc"), (7, "eau ou", "cc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = sorted(li.identify(df).collect(), key=str)
+    assert len(want) == len(rows)
+    for entries, chunk in ((1, 5), (700, 1_000_000)):
+        monkeypatch.setattr(li, "BROADCAST_ENTRIES", entries)
+        monkeypatch.setattr(li, "CHUNK", chunk)
+        assert sorted(li.identify(df).collect(), key=str) == want
+    assert li.shards({"a": 3, "b": 3, "c": 9, "d": 1}, 6) == [["a", "b"], ["c"], ["d"]]
