@@ -1,7 +1,9 @@
 """Licence scan by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences (at line ends, and after ``.``, ``!``, ``?`` or ``;`` before white space), each is normalised (A-Z
-lower-cased, anything but a-z and 0-9 one space), and known licence sentences become identifiers. The sequence of a document's
+A text is cut into sentences (at blank lines, and after ``.``, ``!``, ``?`` or ``;`` before white space), each is normalised (A-Z
+lower-cased, anything but a-z and 0-9 one space), and known licence sentences become identifiers. A known sentence may take one line
+of a sentence, some lines that follow each other, or all, so notices of one line and wrapped texts are both found, with marks of
+comments before the lines. SQL has the reading by single lines only: it gives the same rows where no known sentence is wrapped. The sequence of a document's
 identifiers, other sentences left out, is matched against ordered rules: a rule fits where its identifiers follow each other in
 that sequence, and the first rule that fits names the licence. Everything is per row: no shuffle, no join, no skew.
 
@@ -75,7 +77,9 @@ RULES = [
 HINTS = ["licen", "permission", "copyright", "redistribut", "warranty", "cc0"]
 SPACED_HINTS = "cc[^a-z0-9]+by|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 
-CUT = r"[.!?;]+(?=\s)|[.!?;]+$|[\r\n]+"
+#: Ends of sentences; lines without letters and digits count as blank.
+BREAK = r"(?:\r\n|\n|\r(?!\n))"
+SENTENCE_END = rf"[.!?;]+(?=\s)|[.!?;]+$|{BREAK}[^a-z0-9]*{BREAK}"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -83,15 +87,20 @@ def known_sentences() -> dict[str, str]:
     return {s: i for i, some in SENTENCES.items() for s in some}
 
 
-def normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """The normalised text with S at ends of sentences and L at other line ends; no capitals are left besides."""
+    out = F.regexp_replace(F.translate(text, UPPER, LOWER), SENTENCE_END, "S")
+    out = F.regexp_replace(F.regexp_replace(out, r"[\r\n]+", "L"), "[^a-z0-9SL]+", " ")
+    out = F.regexp_replace(F.regexp_replace(out, "[ L]*S[ SL]*", "S"), " *L[ L]*", "L")
+    return F.concat(F.lit("S"), F.trim(out), F.lit("S"))
 
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
     names = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
-    found = F.transform(F.split(text, CUT), lambda s: names[normal(s)])
-    return F.filter(found, lambda x: x.isNotNull())
+    wrapped = "|".join(s.replace(" ", "[ L]") for s in sorted(known_sentences(), key=len, reverse=True))
+    found = F.regexp_extract_all(marked(text), F.lit(f"(?<=[SL])(?:{wrapped})(?=[SL])"), F.lit(0))
+    return F.transform(found, lambda s: names[F.translate(s, "L", " ")])
 
 
 def scan(docs: DataFrame) -> DataFrame:
