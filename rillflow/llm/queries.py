@@ -54,7 +54,7 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id.identify(read(spark, sf_dir, "documents")).drop("rejected")
+    return language_id.identify(read(spark, sf_dir, "documents"))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
