@@ -1,28 +1,35 @@
 """Benchmark decontamination by CGK embedding, bit sampling and exact edit verification.
 
-Texts are sequences of words (case-folded runs of word characters), so case, spacing and punctuation don't hide a passage.
-A document leaks an item of m words if some stretch of it is within ``max_edits`` * m word edits of the item, or equal to it
-where m is under ``FREE_WORDS``: a few short words in nearly the same order may be chance.
-
-Items of about one size form a class. For each class, windows of the item's size start at every word of every document:
-
-* A window with more words outside the class's vocabulary than the allowed edits can't match; this bound drops most windows.
-* The Chakraborty-Goldenberg-Koucky random walk embeds the rest: step by step the current word is put out and a random bit of
-  (step, word) says whether to go on to the next word, so close sequences fall into step and agree in most places. Some places
-  of the output are the key; windows with the key of an item are candidates. Rounds with other bits and places follow until
-  the recall that is measured on edited copies of the items themselves reaches ``target_recall``.
-* Each candidate is verified: Myers' bit-vector search gives the exact least edit distance of the item to any stretch there.
-
-Documents stay where they are; only the benchmark travels, in blocks of at most ``block_items`` items and one pass each, so
-what is broadcast is bounded. Skew in documents doesn't matter, as no rows are shuffled.
-
-Defined cases: null or empty texts and items match nothing; items of under ``min_words`` words can't be told from chance and
-are left out; equal items are all reported; repeated rows each report; a null doc_id or item_id is reported as null; empty
-tables give no rows; extra columns are ignored.
+Texts are sequences of words (case-folded runs of word characters; in scripts without spaces each character is one), so case, spacing
+and punctuation don't hide a passage. A document leaks an item of m words if some stretch of it is within ``max_edits`` * m word
+edits of the item, or equal to it where m is under ``FREE_WORDS``: a few short words in nearly the same order may be chance.
+
+Items of about one size form a class. For each class, windows of the item's size are looked at in every document:
+
+* An exact bound passes most windows over: of an item cut into one part more than the allowed edits, one part is left whole. The parts'
+  first words are looked up in the text, and windows start where one of them says that an item would, give or take the edits.
+* The Chakraborty-Goldenberg-Koucky random walk embeds those: step by step the current word is put out and a random bit of
+  (step, word) says whether to go on to the next word, so close sequences fall into step and agree in most places. The words at
+  some random places of the output are the key; windows with the key of an item are candidates. A key takes places until chance would
+  give a window at most FALSE of the class's items, going by how often items have those words, so frequent words make longer keys
+  and not more candidates. Rounds with other bits and places follow until the recall that is measured on edited copies of the items
+  reaches ``target_recall``. Where MOST_ROUNDS don't suffice, or items are so long that walks cost more than verifying, the windows of
+  the first step are candidates themselves, which loses nothing.
+* Each candidate is verified once, a round's before the next: Myers' bit-vector search gives the exact least edit distance of the item
+  to any stretch there.
+
+Documents stay where they are; only the benchmark travels, in blocks of at most about ``block_items`` items and ``block_chars``
+characters and one pass each, so what is broadcast is bounded. Skew in documents doesn't matter, as no rows are shuffled.
+
+Defined cases: null or empty texts and items match nothing; items of under ``min_words`` words must be equal to a stretch, and are left
+out if they have under ``MIN_CHARS`` characters, as they can't be told from chance; very long texts are searched whole; equal items are
+all reported; repeated rows each report; a null doc_id or item_id is reported as null; empty tables give no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from bisect import bisect_right
@@ -36,17 +43,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm import worker
-from rillflow.llm.store import small_batches
+from rillflow.llm.store import small_batches, table
 
 SCHEMA = "doc_id long, item_id long, edits long, item_words long, last_word long"
 ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
-PLACES, MOST_ROUNDS, TRIALS, FREE_WORDS = 2, 64, 400, 10
-BATCH_WORDS = 1_000_000
+PLACES, MOST_ROUNDS, TRIALS, FREE_WORDS, MIN_CHARS, SEED_WORDS, LONG_WORDS, FALSE = 8, 64, 400, 10, 16, 4, 300, 1 / 64
+BATCH_WORDS, AT_ONCE = 1_000_000, 1 << 20
+#: Scripts that are written without spaces: Thai to Khmer, kana, and Han; fixed values.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _words = re.compile(r"\w+").findall
+_unspaced = re.compile(f"[{UNSPACED}]")
+_mixed = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+").findall
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
-    return _words(text.casefold()) if text else []
+    if not text:
+        return []
+    text = text.casefold()
+    return _words(text) if text.isascii() or not _unspaced.search(text) else _mixed(text)
+
+
+def ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The distinct whole numbers of the ranges [low, high)."""
+    low, high = low[order := np.argsort(low)], high[order]
+    reach = np.maximum.accumulate(high)
+    low = np.maximum(low, np.concatenate([low[:1], reach[:-1]]))
+    n = np.maximum(high - low, 0)
+    return np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 def allowed_edits(m: int, max_edits: float) -> int:
@@ -75,40 +99,65 @@ def least_edits(masks: dict[int, int], m: int, text: list[int]) -> tuple[int, in
     return best, at
 
 
+#: Items, where they would start, and where the documents start in which they would.
+Hits = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
 class SizeClass:
     """Items of about one size, ready to be found."""
 
-    def __init__(self, items: list[tuple[int, list[int]]], symbols: int, max_edits: float, target: float):
-        self.items, self.symbols = items, symbols
+    def __init__(self, items: list[tuple[list[int | None], list[int]]], symbols: int, max_edits: float, target: float):
+        """Items are the ids of a text and its words, as numbers under ``symbols``, which stands for all other words."""
+        self.items, self.symbols, self.max_edits = items, symbols, max_edits
         sizes = [len(x) for _, x in items]
         self.width, self.longest = min(sizes), max(sizes)
         self.allowed = allowed_edits(self.longest, max_edits)
-        self.max_edits = max_edits
-        self.known = np.zeros(symbols + 2, bool)
         self.masks: list[dict[int, int]] = []
+        times = np.zeros(symbols + 2)
         for _, x in items:
-            self.known[x] = True
             masks: dict[int, int] = defaultdict(int)
             for place, symbol in enumerate(x):
                 masks[symbol] |= 1 << place
             self.masks.append(dict(masks))
-        self.rounds: list[tuple[np.ndarray, np.ndarray, list[int], np.ndarray, np.ndarray]] = []
-        self._calibrate(target)
-
-    def _walk(self, flat: np.ndarray, starts: np.ndarray, times: np.ndarray, adds: np.ndarray, places: list[int]) -> np.ndarray:
-        at, key, wanted = starts.copy(), np.zeros(len(starts), np.int64), set(places)
-        for step in range(places[-1] + 1):
+            np.add.at(times, x, 1)
+        #: How unlikely a word is in these items, in nats; words of no item end a key.
+        self.rare = -np.log(np.maximum(times, 1e-9) / times.sum())
+        self.enough = math.log(len(items) / FALSE)
+        self.rounds: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.recall, self.walks = 1.0, self.allowed > 0 and self.longest <= LONG_WORDS
+        if self.walks:
+            self._calibrate(target)
+
+    def seeds(self) -> Iterator[tuple[int, tuple[int, ...], int, int]]:
+        """Item, first words of a part, and where the part starts in it."""
+        for i, (_, x) in enumerate(self.items):
+            parts = allowed_edits(len(x), self.max_edits) + 1
+            q = min(SEED_WORDS, len(x) // parts)
+            for k in range(parts):
+                at = k * len(x) // parts
+                yield i, tuple(x[at : at + q]), at
+
+    def _walk(self, flat: np.ndarray, starts: np.ndarray, times: np.ndarray, adds: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Keys. ``places`` are steps in the order in which a key takes them."""
+        at, rank, got = starts.copy(), {int(p): i for i, p in enumerate(places)}, np.empty((len(places), len(starts)), flat.dtype)
+        for step in range(int(places.max()) + 1):
             symbol = flat[at]
-            if step in wanted:
-                key = key * (self.symbols + 2) + symbol
+            if step in rank:
+                got[rank[step]] = symbol
             at = at + ((symbol * times[step] + adds[step] >> 17) & 1)
+        key, known, open_ = np.zeros(len(starts), np.uint64), np.zeros(len(starts)), np.ones(len(starts), bool)
+        for symbol in got:
+            mixed = (key ^ key >> np.uint64(29)) * _ODD + symbol.astype(np.uint64) + np.uint64(1)
+            key = np.where(open_, mixed, key)
+            known += np.where(open_, self.rare[symbol], 0)
+            open_ &= known < self.enough
         return key
 
     def _round(self, number: int) -> None:
         rng = np.random.default_rng([number, self.width, self.symbols])
         steps = max(PLACES, int(1.6 * self.width))
         times, adds = rng.integers(1, 1 << 31, steps) | 1, rng.integers(0, 1 << 40, steps)
-        places = sorted(rng.choice(steps, PLACES, replace=False).tolist())
+        places = rng.choice(steps, PLACES, replace=False)
         flat = np.full((len(self.items), self.longest + steps + 1), self.symbols + 1, np.int64)
         for row, (_, x) in zip(flat, self.items, strict=True):
             row[: len(x)] = x
@@ -130,24 +179,32 @@ class SizeClass:
         return which, x
 
     def _calibrate(self, target: float) -> None:
-        """Rounds until edited copies of the items, in a text of strange words, are found."""
+        """Rounds until edited copies of the items, in a text of strange words, are found. Windows are those that seeds leave."""
         rng = random.Random(self.width)
-        trials, gap = [self._edited(rng) for _ in range(TRIALS)], 2 * self.longest + 2
+        trials, gap = [self._edited(rng) for _ in range(max(100, min(TRIALS, TRIALS * 60 // self.longest)))], 2 * self.longest + 2
         flat, firsts = [], []
         for _, x in trials:
             flat += [self.symbols] * gap
             firsts.append(len(flat))
             flat += x
         flat = np.array(flat + [self.symbols] * 4 * gap, np.int64)
-        starts = np.concatenate([np.arange(f - self.allowed, f + self.allowed + 1) for f in firsts])
-        of, found = np.repeat(np.arange(TRIALS), 2 * self.allowed + 1), np.zeros(TRIALS, bool)
+        seeds = Seeds([self], self.symbols)
+        starts = self.windows(seeds.hits(flat, np.zeros(1, np.int64))[0])
+        of, found = np.searchsorted(np.array(firsts) - gap // 2, starts, "right") - 1, np.zeros(len(trials), bool)
+        wanted = np.array([w for w, _ in trials])
         for number in range(MOST_ROUNDS):
             self._round(number)
             hit, item = self._matches(flat, starts, self.rounds[-1])
-            good = item == np.array([w for w, _ in trials])[of[hit]]
-            found[of[hit[good]]] = True
-            if found.mean() >= target and number >= 3:
-                break
+            found[of[hit[item == wanted[of[hit]]]]] = True
+            self.recall = float(found.mean())
+            if self.recall >= target and number >= 3:
+                return
+        self.walks, self.rounds, self.recall = False, [], 1.0
+
+    def windows(self, hits: Hits) -> np.ndarray:
+        """Where windows start, from where items would, and not before their document."""
+        _, start, first = hits
+        return ranges(np.maximum(start - self.allowed, first), start + self.allowed + 1)
 
     def _matches(self, flat: np.ndarray, starts: np.ndarray, of: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Index of start, index of item."""
@@ -158,39 +215,89 @@ class SizeClass:
         hit = np.repeat(np.arange(len(starts)), many)
         return hit, order[np.repeat(low, many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)]
 
-    def candidates(self, flat: np.ndarray) -> set[tuple[int, int]]:
-        """Pairs (item index, start). flat ends with strange words enough for a walk."""
-        outside = np.cumsum(~self.known[flat], dtype=np.int32)
-        last = len(flat) - 2 * self.longest - 8
-        if last <= 0:
-            return set()
-        before = np.concatenate([np.zeros(1, np.int32), outside[: last - 1]])
-        starts = np.flatnonzero(outside[self.width - 1 : self.width - 1 + last] - before <= self.allowed)
-        out: set[tuple[int, int]] = set()
-        if len(starts):
-            for r in self.rounds:
-                hit, item = self._matches(flat, starts, r)
-                out.update(zip(item.tolist(), starts[hit].tolist(), strict=True))
+    def candidates(self, flat: np.ndarray, hits: Hits) -> Iterator[np.ndarray]:
+        """Pairs (item << 40 | start), each once, some at a time."""
+        if not len(hits[0]):
+            return
+        if not self.walks:
+            yield np.unique(hits[0] << 40 | np.maximum(hits[1], hits[2]))
+            return
+        starts, known = self.windows(hits), np.empty(0, np.int64)
+        starts = starts[starts < len(flat) - 2 * self.longest - PLACES]
+        for r in self.rounds:
+            for first in range(0, len(starts), AT_ONCE):
+                some = starts[first : first + AT_ONCE]
+                hit, item = self._matches(flat, some, r)
+                new = np.setdiff1d(item << 40 | some[hit], known)
+                known = np.union1d(known, new)
+                yield new
+
+
+class Seeds:
+    """First words of the items' parts, by their number of words."""
+
+    def __init__(self, classes: list[SizeClass], strange: int):
+        self.strange, self.n = strange, len(classes)
+        rows: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+        for c, one in enumerate(classes):
+            for item, some, at in one.seeds():
+                rows[len(some)].append((int(self._hash(np.array(some, np.int64), len(some))[0]), c, item, at))
+        self.tables = {}
+        for q, some in rows.items():
+            some.sort()
+            self.tables[q] = (np.array([x[0] for x in some], np.uint64), *(np.array([x[k] for x in some], np.int64) for k in (1, 2, 3)))
+
+    @staticmethod
+    def _hash(flat: np.ndarray, q: int, at: np.ndarray | None = None) -> np.ndarray:
+        at = np.arange(len(flat) - q + 1) if at is None else at
+        out = np.full(len(at), q, np.uint64)
+        for k in range(q):
+            out = (out ^ out >> np.uint64(31)) * _ODD + flat[at + k].astype(np.uint64)
         return out
 
+    def hits(self, flat: np.ndarray, firsts: np.ndarray) -> list[Hits]:
+        """For each class, what parts of its items that are in the text tell. ``firsts`` are the documents' starts."""
+        known, parts = flat < self.strange, []
+        for q, (keys, of, item, offset) in self.tables.items():
+            all_ = known[: len(flat) - q + 1].copy()
+            for k in range(1, q):
+                all_ &= known[k : len(flat) - q + 1 + k]
+            at = np.flatnonzero(all_)
+            mine = self._hash(flat, q, at)
+            low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+            n = high - low
+            row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(at, n)
+            parts.append((of[row], item[row], at - offset[row], firsts[np.searchsorted(firsts, at, "right") - 1]))
+        if not parts:
+            return []
+        of, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return [tuple(x[of == c] for x in rest) for c in range(self.n)]
+
 
 class Index:
+    """Found and calibrated once, on the driver; tasks get it by broadcast."""
+
     def __init__(self, items: list[tuple[int | None, str | None]], max_edits: float, min_words: int, target: float):
         self.symbol: dict[str, int] = {}
-        coded = []
+        ids: dict[tuple[int, ...], list[int | None]] = defaultdict(list)  # equal texts are searched once
         for item_id, text in items:
-            if len(w := words(text)) >= min_words:
-                coded.append((item_id, [self.symbol.setdefault(x, len(self.symbol)) for x in w]))
-        coded.sort(key=lambda x: len(x[1]))
+            w = words(text)
+            if len(w) >= min_words or sum(map(len, w)) >= MIN_CHARS:
+                ids[tuple(self.symbol.setdefault(x, len(self.symbol)) for x in w)].append(item_id)
+        coded = sorted(((some, list(x)) for x, some in ids.items()), key=lambda x: len(x[1]))
         self.strange, groups = len(self.symbol), []
         for x in coded:
-            if groups and len(x[1]) <= 1.15 * len(groups[-1][0][1]):
+            first = len(groups[-1][0][1]) if groups else 0
+            if groups and len(x[1]) <= 1.15 * first and (first >= FREE_WORDS or len(x[1]) == first):
                 groups[-1].append(x)
             else:
                 groups.append([x])
         self.classes = [SizeClass(g, self.strange, max_edits, target) for g in groups]
+        self.seeds = Seeds(self.classes, self.strange)
         self.gap = max((c.allowed for c in self.classes), default=0) + 1
-        self.tail = 2 * max((c.longest for c in self.classes), default=0) + 16
+        self.tail = 4 * max((c.longest for c in self.classes), default=0) + 16
+        self.verified = 0
 
     def leaks(self, docs: list[tuple[int | None, list[int]]]) -> Iterator[tuple[int | None, int | None, int, int, int]]:
         flat: list[int] = []
@@ -202,65 +309,85 @@ class Index:
             flat += [self.strange] * self.gap
         whole = np.array(flat + [self.strange] * self.tail, np.int64)
         found: dict[tuple[int, int, int], tuple[int, int, int]] = {}
-        for number, c in enumerate(self.classes):
-            done: dict[tuple[int, int], int] = {}
-            for i, start in sorted(c.candidates(whole)):
-                size = len(c.items[i][1])
-                allowed = allowed_edits(size, c.max_edits)
-                doc = bisect_right(firsts, start) - 1
-                # the last stretch looked at for this item may hold this one's
-                if done.get((doc, i), -1) >= start + size:
-                    continue
-                lo, hi = max(firsts[doc], start - allowed), min(ends[doc], start + 2 * size + allowed)
-                done[doc, i] = start + 2 * size
-                edits, at = least_edits(c.masks[i], size, flat[lo:hi])
-                if edits <= allowed and edits < found.get((doc, number, i), (size + 1,))[0]:
-                    found[doc, number, i] = (edits, size, lo - firsts[doc] + at - 1)
+        starts = np.array(firsts or [0], np.int64)
+        for number, (c, hits) in enumerate(zip(self.classes, self.seeds.hits(whole, starts), strict=False)):
+            done: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+            for some in c.candidates(whole, hits):
+                for i, start in zip((some >> 40).tolist(), (some & (1 << 40) - 1).tolist(), strict=True):
+                    size = len(c.items[i][1])
+                    allowed = allowed_edits(size, c.max_edits)
+                    doc = bisect_right(firsts, start) - 1
+                    # a stretch looked at for this item may hold this one's
+                    best = found.get((doc, number, i), (size + 1,))[0]
+                    if not best or any(a <= start and start + size <= b for a, b in done[doc, i]):
+                        continue
+                    lo, hi = max(firsts[doc], start - allowed), min(ends[doc], start + 2 * size + allowed)
+                    done[doc, i].append((lo + allowed if lo > firsts[doc] else lo, hi - allowed if hi < ends[doc] else hi + size))
+                    self.verified += 1
+                    edits, at = least_edits(c.masks[i], size, flat[lo:hi])
+                    if edits <= allowed and edits < best:
+                        found[doc, number, i] = (edits, size, lo - firsts[doc] + at - 1)
         for (doc, number, i), (edits, size, last) in sorted(found.items()):
-            yield docs[doc][0], self.classes[number].items[i][0], edits, size, last
+            for item_id in self.classes[number].items[i][0]:
+                yield docs[doc][0], item_id, edits, size, last
 
 
-_made: dict[int, tuple[list, Index]] = {}
-worker.caches("leaks", _made.clear)
+RECALL = "items long, words long, most_words long, rounds long, recall double"
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, min_words: int = 5, target_recall: float = 0.99, block_items: int = 20_000) -> DataFrame:
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, min_words: int = 5, target_recall: float = 0.99, block_items: int = 20_000, block_chars: int = 64_000_000) -> DataFrame:
     """doc_id, item_id, edits, item_words and last_word (of the best stretch), a row for each document and item it leaks."""
-    sc = docs.sparkSession.sparkContext
-    small_batches(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    def one(block: int) -> DataFrame:
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        sent = sc.broadcast([(r.item_id, r.text) for r in rows])
-
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            worker.enter("leaks")
-            key = hash((len(sent.value), max_edits, min_words, target_recall, *sent.value[:50]))
-            if key not in _made or _made[key][0] != sent.value:
-                _made.clear()
-                _made[key] = (sent.value, Index(sent.value, max_edits, min_words, target_recall))
-            index, held, size = _made[key][1], [], 0
-            known, strange = index.symbol.get, index.strange
-
-            def out() -> pa.RecordBatch:
-                return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*index.leaks(held), strict=True)] or [pa.array([], pa.int64())] * 5, schema=ARROW)
-
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    held.append((doc_id, [known(w, strange) for w in words(text.as_py())]))
-                    size += len(held[-1][1])
-                    if size >= BATCH_WORDS:
-                        yield out()
-                        held, size = [], 0
-            if held:
-                yield out()
-
-        return source.mapInArrow(task, SCHEMA)
-
-    return reduce(DataFrame.unionByName, [one(b) for b in range(blocks)])
+    return reduce(DataFrame.unionByName, [_search(source, Index(some, max_edits, min_words, target_recall)) for some in _blocks(benchmark, block_items, block_chars)])
+
+
+def recalls(benchmark: DataFrame, max_edits: float = 0.2, min_words: int = 5, target_recall: float = 0.99, block_items: int = 20_000, block_chars: int = 64_000_000) -> DataFrame:
+    """A row for each size class of each block: its items and their words, the rounds, and the recall measured on edited copies. No
+    rounds: all windows that the exact bound leaves are verified."""
+    rows = []
+    for some in _blocks(benchmark, block_items, block_chars):
+        rows += [(len(c.items), c.width, c.longest, len(c.rounds), c.recall) for c in Index(some, max_edits, min_words, target_recall).classes]
+    return benchmark.sparkSession.createDataFrame(rows, RECALL)
+
+
+def _blocks(benchmark: DataFrame, block_items: int, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+    items = _items(benchmark)
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_items), -(-chars // block_chars))
+    if blocks > 1:  # rows are dealt by number, so that repeated rows spread
+        items = table(items.withColumn("nr", F.monotonically_increasing_id()), "items")
+    for b in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("nr"), F.lit(blocks)) == b) if blocks > 1 else items
+        yield [(r.item_id, r.text) for r in mine.collect()]
+
+
+def _search(source: DataFrame, index: Index) -> DataFrame:
+    small_batches(source.sparkSession)
+    sent = source.sparkSession.sparkContext.broadcast(index)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.enter("leaks")
+        index, held, size = sent.value, [], 0
+        known, strange = index.symbol.get, index.strange
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*index.leaks(held), strict=True)] or [pa.array([], pa.int64())] * 5, schema=ARROW)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.append((doc_id, [known(w, strange) for w in words(text.as_py())]))
+                size += len(held[-1][1])
+                if size >= BATCH_WORDS:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    return source.mapInArrow(task, SCHEMA)
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, broadcast_ids: int = 1_000_000) -> DataFrame:
