@@ -72,26 +72,44 @@ _escaped = lambda x: f"(length({x}) + len(regexp_extract_all({x}, '{_CONTROL}'))
 
 
 def _url_sql() -> str:
-    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    """Unlike the operator, it has no split joins and no stored tables; levels are plain sums."""
+    u, ordered = url_filter, sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
     fits = lambda r: f"(host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}')"
-    suffixes = ", ".join(f"'{s}'" for s in url_filter.SUFFIXES)
+    sums = "sum(n) AS n, sum(bad) AS bad, count(*) FILTER (n > 0) AS names, sum(n::DOUBLE * n) AS squares, sum(CASE WHEN n > 0 THEN bad::DOUBLE * bad / n ELSE 0 END) AS rates"
+    chance = "(bad::DOUBLE / n * (1 - bad::DOUBLE / n))"
+
+    def strength(parents: str) -> str:
+        r = f"sum(rates - bad::DOUBLE * bad / n - {chance} * (names - 1)) AS over, sum({chance} * (n - squares / n - (names - 1))) AS room"
+        least, most = (1 / (1 + x) for x in (u.LEAST, u.MOST))
+        return f"""(SELECT CASE WHEN room IS NULL OR room <= 1e-9 THEN {u.NO_PAIRS} WHEN over / room <= {most!r}::DOUBLE THEN {u.MOST}
+          WHEN over / room >= {least!r}::DOUBLE THEN {u.LEAST} ELSE 1 / (over / room) - 1 END::DOUBLE AS k FROM (SELECT {r} FROM {parents} WHERE n > 0))"""
+
+    a, b = "(mean * (n + kh.k))", "((1 - mean) * (n + kh.k))"
+    f = f"pow({b} * 0.5::DOUBLE / ({a} * 0.5::DOUBLE), {1 / 3!r}::DOUBLE)"
+    z = f"((1 - 1 / (9 * {b})) * {f} - (1 - 1 / (9 * {a}))) / sqrt({f} * {f} / (9 * {b}) + 1 / (9 * {a}))"
     return f"""
     WITH rests AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
     split AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
     outcome AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
     seen AS (SELECT host, o.bad FROM split s LEFT JOIN outcome o ON o.doc_id = try_cast(nullif(regexp_extract(s.path, '^/[^/]*/([0-9]+)', 1), '') AS BIGINT)),
     hosts AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM seen GROUP BY host),
-    labelled AS (SELECT *, string_split(host, '.') AS l FROM hosts),
-    named AS (SELECT host, n, bad, CASE WHEN array_to_string(l[greatest(len(l) - 1, 1):], '.') IN ({suffixes}) THEN array_to_string(l[greatest(len(l) - 2, 1):], '.') ELSE array_to_string(l[greatest(len(l) - 1, 1):], '.') END AS domain FROM labelled),
-    placed AS (SELECT *, CASE WHEN domain IN ({suffixes}) THEN domain ELSE regexp_replace(domain, '^[^.]*\\.', '') END AS suffix FROM named),
-    p0 AS (SELECT (sum(bad) + 1) / (sum(n) + 2.0) AS m0 FROM placed),
-    p1 AS (SELECT suffix, (sum(bad) + any_value(m0) * 8.0) / (sum(n) + 8.0) AS m1 FROM placed, p0 GROUP BY suffix),
-    p2 AS (SELECT domain, (sum(bad) + any_value(m1) * 8.0) / (sum(n) + 8.0) AS m2 FROM placed JOIN p1 USING (suffix) GROUP BY domain),
-    p3 AS (SELECT host, n, (bad + m2 * 8.0) / (n + 8.0) AS mean FROM placed JOIN p2 USING (domain))
+    labelled AS (SELECT *, regexp_replace(regexp_replace(host, '{u.USER}', '', 'g'), '{u.TAIL}', '', 'g') AS name, string_split(name, '.') AS l FROM hosts),
+    named AS (SELECT host, n, bad, CASE WHEN regexp_matches(name, '{u.ADDRESS}') THEN name WHEN regexp_matches(array_to_string(l[greatest(len(l) - 1, 1):], '.'), '{u.TWO_LABELS}')
+      THEN array_to_string(l[greatest(len(l) - 2, 1):], '.') ELSE array_to_string(l[greatest(len(l) - 1, 1):], '.') END AS domain FROM labelled),
+    placed AS (SELECT *, CASE WHEN regexp_matches(domain, '{u.ADDRESS}|{u.TWO_LABELS}') THEN domain ELSE regexp_replace(domain, '^[^.]*[.]', '') END AS suffix FROM named),
+    d AS (SELECT domain, any_value(suffix) AS suffix, {sums} FROM placed GROUP BY domain),
+    s AS (SELECT suffix, {sums} FROM d GROUP BY suffix),
+    t AS (SELECT {sums} FROM s),
+    kh AS {strength("d")}, kd AS {strength("s")}, ks AS {strength("t")},
+    p1 AS (SELECT s.suffix, s.n, s.bad, (t.bad - s.bad + 1) / (t.n - s.n + 2.0::DOUBLE) AS m0 FROM s, t),
+    p2 AS (SELECT d.domain, d.n, d.bad, (p1.bad - d.bad + m0 * ks.k) / (p1.n - d.n + ks.k) AS m1 FROM d JOIN p1 USING (suffix), ks),
+    p3 AS (SELECT placed.host, placed.n, placed.bad, (p2.bad - placed.bad + m1 * kd.k) / (p2.n - placed.n + kd.k) AS m2 FROM placed JOIN p2 USING (domain), kd),
+    p4 AS (SELECT host, n, (bad + m2 * kh.k) / (n + kh.k) AS mean FROM p3, kh),
+    p5 AS (SELECT host, n, mean, {z} <= {u.NormalDist().inv_cdf(0.05)!r}::DOUBLE AS block FROM p4, kh)
     SELECT page_id, host, path, CASE {" ".join(f"WHEN {fits(r)} THEN '{r[1]}{r[2]}'" for r in ordered)} END AS rule,
-      CASE {" ".join(f"WHEN {fits(r)} THEN '{r[0]}'" for r in ordered)} WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (n + 8.0 + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+      CASE {" ".join(f"WHEN {fits(r)} THEN '{r[0]}'" for r in ordered)} WHEN block THEN 'block' ELSE 'allow' END AS verdict,
       n AS rep_n, round(mean, 9) AS rep_mean
-    FROM split JOIN p3 USING (host)"""
+    FROM split JOIN p5 USING (host)"""
 
 
 ORACLE_SQL: dict[str, str] = {
