@@ -2,14 +2,16 @@
 
 1. Equal vectors are one class. A class keeps its k + 1 smallest ids: a query can't return more of it, as ties go to smaller
    ids, so nothing is lost and no vector is hot.
-2. One more component, sqrt(longest**2 - length**2), turns largest inner product into least distance. The tree is fitted by
-   k-means on at most ``fit_rows`` classes (those of the least id hashes) and has about the square root of the classes as
-   leaves, at most ``max_leaves``; its centroids are all that is broadcast. Every class is put into its leaf.
+2. One more component, sqrt(longest**2 - length**2), turns largest inner product into least distance. The tree has about the
+   square root of the classes as leaves, and is fitted by k-means on ``leaf_rows`` classes for each leaf (those of the least id
+   hashes), together at most ``fit_rows``, which bounds the leaves too; its centroids are all that is broadcast. Every class
+   is put into its leaf.
 3. A query opens nodes from a priority queue by distance of centroid, and so visits leaves, nearest first. How many is
    calibrated: for ``trial_queries`` queries the true neighbours are found over all rows, and visits widen until
-   ``target_recall`` of those lie in visited leaves.
+   ``target_recall`` of those lie in visited leaves. A query goes on visiting while the visited leaves hold no k + 1 vectors.
 4. Vectors of a leaf are dealt in blocks of bounded size; a task holds one block and streams the queries that visit it, in
-   double precision. Each hands on its k + 1 best, which are merged per query.
+   double precision. Each hands on its k + 1 best, which are merged per class that asks. Its queries get those by a join in which
+   a class with very many queries is broadcast.
 
 Defined cases: rows whose id or vector is null, or whose vector is all zeros, holds a null or non-finite component, or is not of
 the commonest length, take no part; equal rows count once; ties go to the smaller id; an empty table gives no rows; extra
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillflow.llm.joins import joined
 from rillflow.llm.store import partitions, table
 
 BRANCHES, BLOCK = 16, 4096
@@ -40,6 +43,7 @@ class Tree:
         self.leaf: dict[int, int] = {}
         self._split(0, x, leaves, np.random.default_rng(7))
         self.leaf = {node: i for i, node in enumerate(n for n, c in enumerate(self.children) if not len(c))}
+        self.sizes = np.zeros(len(self.leaf), np.int64)  # vectors in each leaf, once they are placed
 
     def _split(self, node: int, x: np.ndarray, leaves: int, rng: np.random.Generator) -> None:
         k = min(BRANCHES, leaves, len(x))
@@ -76,10 +80,10 @@ class Tree:
                 at += [(int(c), rows[of == i]) for i, c in enumerate(self.children[node])]
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The leaves that a query visits, best bin first."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+    def visits(self, q: np.ndarray, most: int, least: int = 0) -> list[int]:
+        """The leaves that a query visits, best bin first: ``most`` of them, and more while they hold fewer than ``least`` vectors."""
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < least):
             _, node = heapq.heappop(queue)
             if len(self.children[node]):
                 far = ((self.centers[node] - q) ** 2).sum(1)
@@ -87,6 +91,7 @@ class Tree:
                     heapq.heappush(queue, (d, c))
             else:
                 out.append(self.leaf[node])
+                held += int(self.sizes[out[-1]])
         return out
 
 
@@ -118,9 +123,10 @@ def usable(vector: str) -> Column:
     return F.expr(f"{vector} is not null and forall({vector}, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists({vector}, x -> x != 0)")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: float = 0.97, fit_rows: int = 20_000, max_leaves: int = 16_384, trial_queries: int = 200) -> DataFrame:
-    """query_id, rank, vec_id and score for every row that ``is_query`` (an expression on vec_id) names."""
-    spark, schema = vectors.sparkSession, "query_id long, rank int, vec_id long, score double"
+def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: float = 0.97, fit_rows: int = 200_000, leaf_rows: int = 32, trial_queries: int = 200) -> DataFrame:
+    """query_id, rank, vec_id, score and compared (vectors that the query met) for every row that ``is_query`` (an expression on vec_id)
+    names."""
+    spark, schema = vectors.sparkSession, "query_id long, rank int, vec_id long, score double, compared long"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector")).where("vec_id is not null").where(usable("vector"))
     common = rows.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"), F.max(F.expr("aggregate(vector, double(0), (a, x) -> a + double(x) * double(x))")).alias("longest")).orderBy(F.desc("n"), "dim").first()
     if common is None:
@@ -134,9 +140,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: flo
     classes = table(classes.join(asked, "vector", "left").select("rep", "ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked")), "classes")
     n = classes.count()
 
-    hashed = F.xxhash64("rep")
-    some = classes.select("vector").orderBy(hashed, "rep").limit(fit_rows).toArrow()
-    tree = Tree(lifted(matrix(some.column(0), dim), longest), max(1, min(max_leaves, round(n**0.5))))
+    hashed, leaves = F.xxhash64("rep"), max(1, min(fit_rows // leaf_rows, round(n**0.5)))
+    some = classes.select("vector").orderBy(hashed, "rep").limit(leaves * leaf_rows).toArrow()
+    tree = Tree(lifted(matrix(some.column(0), dim), longest), leaves)
     sent = spark.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,6 +151,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: flo
             yield pa.record_batch([*b.columns, pa.array(leaf, pa.int64())], names=[*b.schema.names, "leaf"])
 
     index = table(classes.mapInArrow(place, f"rep long, ids array<long>, vector {kind(classes)}, asked boolean, leaf long"), "index")
+    in_leaf = index.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("held")).collect()  # a row a leaf
+    for r in in_leaf:
+        tree.sizes[r.leaf] = r.held
+    sent = spark.sparkContext.broadcast(tree)
     visits = _calibrate(index, tree, dim, k, target_recall, trial_queries)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +162,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: flo
             q = np.hstack([matrix(b.column(1), dim), np.zeros((b.num_rows, 1))])
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                leaves = [sent.value.visits(x, visits) for x in q[at : at + 256]]
-                yield pa.record_batch([*part.columns, pa.array(leaves, pa.list_(pa.int64()))], names=["rep", "vector", "leaves"])
+                leaves = [sent.value.visits(x, visits, k + 1) for x in q[at : at + 256]]
+                compared = [int(sent.value.sizes[x].sum()) for x in leaves]
+                yield pa.record_batch([*part.columns, pa.array(leaves, pa.list_(pa.int64())), pa.array(compared, pa.int64())], names=["rep", "vector", "leaves", "compared"])
 
     # each leaf's vectors lie in blocks; a query goes to all blocks of the leaves that it visits
-    sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    held = index.join(F.broadcast(sizes), "leaf").select("leaf", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), F.lit(0).alias("kind"), "rep", "ids", "vector")
-    asking = index.where("asked").select("rep", "vector").mapInArrow(go, f"rep long, vector {kind(classes)}, leaves array<long>")
-    asking = asking.select("rep", "vector", F.explode("leaves").alias("leaf")).join(F.broadcast(sizes), "leaf").select("leaf", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("kind"), "rep", F.lit(None).cast("array<long>").alias("ids"), "vector")
+    sizes = spark.createDataFrame([(r.leaf, -(-r.n // BLOCK)) for r in in_leaf], "leaf long, blocks long")
+    held = index.join(F.broadcast(sizes), "leaf").select("leaf", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), F.lit(0).alias("kind"), "rep", "ids", "vector", F.lit(None).cast("long").alias("compared"))
+    asking = index.where("asked").select("rep", "vector").mapInArrow(go, f"rep long, vector {kind(classes)}, leaves array<long>, compared long")
+    asking = asking.select("rep", "vector", "compared", F.explode("leaves").alias("leaf")).join(F.broadcast(sizes), "leaf").select("leaf", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("kind"), "rep", F.lit(None).cast("array<long>").alias("ids"), "vector", "compared")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, ready = None, [], None
@@ -184,22 +195,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target_recall: flo
                 q = matrix(part.column(5), dim)
                 for at in range(0, len(q), 128):
                     found = list(best(q[at : at + 128] @ x.T, owner, ids, k + 1))
-                    yield pa.record_batch({"rep": part.column(3).slice(at, 128), "ids": pa.array([i.tolist() for i, _ in found], pa.list_(pa.int64())), "scores": pa.array([s.tolist() for _, s in found], pa.list_(pa.float64()))})
+                    yield pa.record_batch({"rep": part.column(3).slice(at, 128), "compared": part.column(6).slice(at, 128), "ids": pa.array([i.tolist() for i, _ in found], pa.list_(pa.int64())), "scores": pa.array([s.tolist() for _, s in found], pa.list_(pa.float64()))})
 
     dealt = held.unionByName(asking).repartition(partitions(spark), "leaf", "block").sortWithinPartitions("leaf", "block", "kind")
-    found = dealt.mapInArrow(compare, "rep long, ids array<long>, scores array<double>")
-
-    def merge(left: Column, right: Column) -> Column:
-        return F.slice(F.array_sort(F.concat(left, right)), 1, k + 1)
+    found = dealt.mapInArrow(compare, "rep long, compared long, ids array<long>, scores array<double>")
 
     # least first: the negated score, then the id
-    best_of = found.select("rep", F.expr("transform(arrays_zip(scores, ids), x -> struct(-x.scores as s, x.ids as i))").alias("near"))
-    near = best_of.select("rep", F.explode("near").alias("x")).select("rep", "x.*")
-    top = near.withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("s", "i"))).where(F.col("r") <= k + 1).drop("r")
-    named = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector").distinct().join(classes.where("asked").select("vector", "rep"), "vector").select("query_id", "rep")
-    out = named.join(top, "rep").where("query_id != i")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("s", "i"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("i").alias("vec_id"), (-F.col("s")).alias("score"))
+    near = found.select("rep", "compared", F.explode(F.expr("transform(arrays_zip(scores, ids), x -> struct(-x.scores as s, x.ids as i))")).alias("x")).select("rep", "compared", "x.*")
+    top = near.withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("s", "i"))).where(F.col("r") <= k + 1)
+    top = table(top.groupBy("rep").agg(F.max("compared").alias("compared"), F.sort_array(F.collect_list(F.struct("s", "i"))).alias("near")), "nearest")
+    # a class's queries, of which there may be very many, share its row
+    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector").distinct()
+    asked_by = queries.groupBy("vector").agg(F.count("*").alias("c"))
+    of_class = classes.where("asked").select("vector", "rep").join(top, "rep").drop("rep")
+    out = joined(queries, of_class, "vector", asked_by).where("near is not null")
+    own = out.select("query_id", "compared", F.expr(f"slice(filter(near, x -> x.i != query_id), 1, {k})").alias("near"))
+    ranked = own.select("query_id", "compared", F.posexplode("near").alias("p", "x"))
+    return ranked.select("query_id", (F.col("p") + 1).alias("rank"), F.col("x.i").alias("vec_id"), (-F.col("x.s")).alias("score"), "compared")
 
 
 def kind(df: DataFrame) -> str:
