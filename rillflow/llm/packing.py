@@ -1,15 +1,18 @@
 """Packing documents into sequences of at most 2048 tokens.
 
 First-fit decreasing with a tournament tree of the bins' free room, run independently in randomised groups of documents.
-The rows are dealt round-robin (Spark sorts them before, so a task that runs again deals alike); each task cuts its share
-into groups of a bounded number of tokens, so memory is bounded whatever a partition holds and no key can be hot.
+Documents stay in the tasks that read them: a task deals its rows at random, by a seed of its own, to OPEN groups, and packs a group
+when it has ``group_tokens`` or ``group_docs``. What is left at the end is one group more. So nothing is shuffled, no key can be hot,
+memory is bounded whatever a partition holds, and a task that runs again deals alike, as it reads its rows in the same order.
 
-Defined cases: a null or empty text is the end id alone; a null ``doc_id`` and repeated rows are packed like any other
-row; ties in length keep the group's order; an empty table gives no rows; extra columns are ignored.
+Defined cases: a null or empty text is the end id alone; a very long text is cut into whole sequences and a rest; a null ``doc_id``
+and repeated rows are packed like any other row; ties in length keep the group's order; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections.abc import Iterator
 
@@ -17,12 +20,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from rillflow.llm.store import partitions, small_batches
+from rillflow.llm.store import small_batches
 from rillflow.llm.tokens import default_tokenizer, slices, word_tokenizer
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
 END = (1).to_bytes(4, "little")
+OPEN = 4
 
 
 class Tournament:
@@ -81,14 +85,17 @@ def plan(lengths: list[int], room: int, least_cut: int) -> list[tuple[int, int,
     filled = sorted(bins.values(), key=lambda b: sum(x[2] for x in b))
     free = [room - sum(x[2] for x in b) for b in filled]
     low, high = 0, len(filled) - 1
+    others = sum(free[1:])  # of the bins after low, up to high
     while low < high:
         while low < high and free[high] < least_cut:
+            others -= free[high]
             high -= 1
-        if low >= high or sum(free[low + 1 : high + 1]) < room - free[low]:
+        if low >= high or others < room - free[low]:
             break
         give = filled[low]
         while give:
             while free[high] < least_cut and high > low:
+                others -= free[high]
                 high -= 1
             if high <= low:
                 break
@@ -96,11 +103,13 @@ def plan(lengths: list[int], room: int, least_cut: int) -> list[tuple[int, int,
             part = min(n, free[high])
             filled[high].append((d, start, part))
             free[high] -= part
+            others -= part
             free[low] += part
             if n > part:
                 give.append((d, start + part, n - part))
         if not give:
             low += 1
+            others -= free[low] if low <= high else 0
     for b in filled:
         if b:
             offset = 0
@@ -111,10 +120,10 @@ def plan(lengths: list[int], room: int, least_cut: int) -> list[tuple[int, int,
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_tokens: int = 4_000_000, least_cut: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_tokens: int = 1_000_000, group_docs: int = 50_000, least_cut: int = 64, seed: int = 0) -> DataFrame:
     """A row per piece; ``ids_crc32`` is that of its ids as little-endian unsigned 32-bit numbers."""
     small_batches(docs.sparkSession)
-    tokenizer, n = tokenizer or default_tokenizer(), partitions(docs.sparkSession)
+    tokenizer = tokenizer or default_tokenizer()
 
     def rows(group: list[tuple[int | None, bytes]], sequence: int) -> pa.RecordBatch:
         lengths = [len(x) >> 2 for _, x in group]
@@ -127,18 +136,22 @@ def pack(docs: DataFrame, tokenizer: str | None = None, room: int = 2048, group_
         return pa.record_batch([pa.array(c, pa.int64()) for c in cols], schema=ARROW)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokenizer(tokenizer).packed_all
-        sequence, group, held = TaskContext.get().partitionId() << 40, [], 0
+        encode, part = word_tokenizer(tokenizer).packed_all, TaskContext.get().partitionId()
+        deal, sequence = random.Random(f"{seed} {part}"), part << 40
+        groups: list[list[tuple[int | None, bytes]]] = [[] for _ in range(OPEN)]
+        held = [0] * OPEN
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for at, texts in slices(batch.column(1)):
                 for doc_id, ids in zip(doc_ids[at:], encode(texts), strict=False):
-                    group.append((doc_id, ids + END))
-                    held += (len(ids) >> 2) + 1
-                    if held >= group_tokens:
-                        yield rows(group, sequence)
-                        sequence, group, held = sequence + len(group) + held // room + 1, [], 0
-        if group:
-            yield rows(group, sequence)
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(cast(text as string) as binary) text").repartition(n).mapInArrow(task, SCHEMA)
+                    g = deal.randrange(OPEN)
+                    groups[g].append((doc_id, ids + END))
+                    held[g] += (len(ids) >> 2) + 1
+                    if held[g] >= group_tokens or len(groups[g]) >= group_docs:
+                        yield rows(groups[g], sequence)
+                        sequence, groups[g], held[g] = sequence + len(groups[g]) + held[g] // room + 1, [], 0
+        rest = [x for group in groups for x in group]
+        if rest:
+            yield rows(rest, sequence)
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(cast(text as string) as binary) text").mapInArrow(task, SCHEMA)
