@@ -1,7 +1,8 @@
 """Tables in the folder that driver and executors share.
 
 Lineage is cut by writing a Parquet table below ``spark.checkpoint.dir`` and reading it again, so a lost executor costs
-a re-read and nothing is kept on one machine alone.
+a re-read and nothing is kept on one machine alone. What a returned frame reads can't go before it is read; clear() takes away
+what the session has written so far, and the driver's JVM the rest when it ends.
 """
 
 from __future__ import annotations
@@ -28,8 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+_written: dict[str, list[str]] = {}
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/rillflow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/rillflow/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables that this application has written here. Frames that read them, results among them, can't be read again."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        drop(spark, path)
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
@@ -42,13 +59,23 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def at_exit(spark: SparkSession, path: str) -> None:
+    """Has the driver's JVM delete a folder when it ends."""
+    fs, place = _place(spark, path)
+    fs.deleteOnExit(place)
+
+
 def drop(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
+    fs.cancelDeleteOnExit(place)
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    if path in mine:
+        mine.remove(path)
 
 
 class Held:

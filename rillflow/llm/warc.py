@@ -10,7 +10,8 @@ the members that start inside its range, reading the last one beyond its end. Af
 
 Defined cases: a null payload is empty; a null id is written as an empty one; rows of one id that share a payload with it are
 all responses if the id is the smallest, since none comes before the other; control characters in a URL are percent-encoded;
-an empty table gives no rows; extra columns are ignored.
+a very large payload is one member, held whole by the task that writes or reads it; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.store import new_path, small_batches, table
+from rillflow.llm.joins import joined
+from rillflow.llm.store import at_exit, new_path, small_batches, table
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
@@ -87,7 +89,7 @@ class Range:
     """The bytes of a file from a place on, read as they are asked for."""
 
     def __init__(self, file: pa.NativeFile, at: int, size: int):
-        self.file, self.size, self.first, self.held = file, size, at, b""
+        self.file, self.size, self.first, self.held = file, size, at, bytearray()
 
     def upto(self, place: int) -> None:
         while self.first + len(self.held) < min(place, self.size):
@@ -96,11 +98,12 @@ class Range:
 
     def get(self, at: int, n: int) -> bytes:
         self.upto(at + n)
-        return self.held[at - self.first : at - self.first + n]
+        return bytes(memoryview(self.held)[at - self.first : at - self.first + n])
 
     def forget(self, before: int) -> None:
         if before - self.first > CHUNK:
-            self.held, self.first = self.held[before - self.first :], before
+            del self.held[: before - self.first]
+            self.first = before
 
     def find(self, at: int, end: int) -> int:
         """The next magic that starts in [at, end), or -1."""
@@ -148,15 +151,17 @@ def records(file: pa.NativeFile, start: int, end: int, size: int) -> Iterator[di
 
 def plan(pages: DataFrame, least_bytes: int = 100, broadcast_rows: int = 200_000) -> DataFrame:
     """page_id, url, payload, digest, refers_to. Payloads that occur more than once are few as a rule; they are broadcast up to
-    ``broadcast_rows``, and joined by a shuffle beyond."""
+    ``broadcast_rows``. Beyond, only those in very many records are, and others are joined by a shuffle."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     small_batches(pages.sparkSession)
-    equal = rows.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    equal = rows.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("c")).where("c > 1")
     equal = table(equal, "equal")
-    equal = F.broadcast(equal) if equal.count() <= broadcast_rows else equal
+    first = equal.select("digest", "first")
+    few = equal.count() <= broadcast_rows
+    found = rows.join(F.broadcast(first), "digest", "left") if few else joined(rows, first, "digest", equal.select("digest", "c"))
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(equal, "digest", "left").select("page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to"))
+    return found.select("page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to"))
 
 
 def write(planned: DataFrame, folder: str) -> DataFrame:
@@ -177,7 +182,9 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
             out.close()
             yield pa.record_batch({"path": pa.array([f"{folder}/{name}"]), "bytes": pa.array([size], pa.int64())})
 
-    return table(planned.mapInArrow(task, "path string, bytes long"), "archives")
+    out = table(planned.mapInArrow(task, "path string, bytes long"), "archives")
+    at_exit(planned.sparkSession, folder)
+    return out
 
 
 def read(archives: DataFrame, split_bytes: int = 16 << 20) -> DataFrame:
