@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm import worker
+from rillflow.llm.joins import without
 from rillflow.llm.store import small_batches, table
 
 SCHEMA = "doc_id long, item_id long, edits long, item_words long, last_word long"
@@ -390,8 +391,6 @@ def _search(source: DataFrame, index: Index) -> DataFrame:
     return source.mapInArrow(task, SCHEMA)
 
 
-def without_leaks(docs: DataFrame, found: DataFrame, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """The documents that leak nothing. Their ids are broadcast up to ``broadcast_ids`` of them, else joined by a shuffle."""
-    ids = found.select("doc_id").distinct()
-    ids = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_anti")
+def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents that leak nothing."""
+    return without(docs, found)

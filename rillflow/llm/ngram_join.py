@@ -13,9 +13,11 @@ overlap of each pair. It is computed in blocks that hold every pair that can pas
    one order, one n-gram at least is among the first ``n - ceil(n * percent / 100) + 1`` of both. The order is by the number of sets
    that have an n-gram, counted over the whole table, so n-grams of common passages come last and those of one set need no key.
 3. Sets that meet form families (components over a link from each set to the least of its key). The overlaps of a family are
-   accumulated column block by column block; pairs below the size-derived bound are discarded.
-4. A large family is first held against a few leaders; what links with one is joined at once. Then only blocks whose
+   accumulated for a block of rows at a time, entry by entry for n-grams that few of its sets have and as dense column blocks for the
+   others; pairs below the size-derived bound are discarded.
+4. A family is first held against a few leaders; what links with one is joined at once. Then only rows and blocks whose
    documents aren't joined yet are multiplied. No pair is lost: two sets in one component need no check.
+5. Joins on a class, a family, a component or a key are split: hot keys meet by broadcast, so no task gets a group's rows.
 
 Word and n-gram hashes have 64 bits, class hashes 128.
 
@@ -42,10 +44,12 @@ from pyspark.sql import functions as F
 
 from rillflow.llm import worker
 from rillflow.llm.components import components
+from rillflow.llm.joins import joined
 from rillflow.llm.store import Held, drop, partitions, small_batches, stored, table
 
 WORDS_CACHED = 100_000
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
+SPARSE, FEW_ROWS, PAIRS = 64, 4, 4_000_000
 RARE_BELOW, SLICE_DOCS, SLICE_GRAMS, BUCKET_GRAMS, WORD_CHARS = 90, 1 << 16, 1_000_000, 1_000_000, 6
 _LOW = np.uint64(0xFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
@@ -223,34 +227,95 @@ CUT = ["bucket", "doc_id", "n", "class", "slice", "at", "blob"]
 COUNTED = [*CUT[1:], "counts"]
 
 
+class Product:
+    """The incidence matrix of some sets by the n-grams that two or more of them have, and rows of its product with its transpose."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        doc, grams = np.repeat(np.arange(len(sets)), self.sizes), np.concatenate(sets)
+        order = np.argsort(grams)
+        grams, doc = grams[order], doc[order]
+        new = np.ones(len(grams) + 1, bool)
+        new[1:-1] = grams[1:] != grams[:-1]
+        shared = ~(new[:-1] & new[1:])  # n-grams of one set add to no overlap
+        self.doc, at = doc[shared], np.cumsum(new[:-1][shared]) - 1
+        #: Documents of each n-gram, and n-grams of each document.
+        self.times = np.bincount(at) if len(at) else np.empty(0, np.int64)
+        self.of_gram = np.concatenate([[0], np.cumsum(self.times)])
+        self.gram = at[np.argsort(self.doc, kind="stable")]
+        self.of_doc = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(sets)))])
+        # columns that many documents have are multiplied as dense blocks, the others entry by entry
+        frequent = np.flatnonzero(self.times > SPARSE)
+        self.place = np.full(len(self.times), -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.frequent = len(frequent)
+
+    def overlaps(self, rows: np.ndarray) -> np.ndarray:
+        """How many n-grams each of these documents shares with each document."""
+        n, many = len(self.sizes), self.of_doc[rows + 1] - self.of_doc[rows]
+        grams = self.gram[np.repeat(self.of_doc[rows] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        row = np.repeat(np.arange(len(rows)), many)
+        dense = self.frequent > 0 and len(rows) > FEW_ROWS
+        if dense:
+            rare = self.place[grams] < 0
+            grams, row = grams[rare], row[rare]
+        out, times = np.zeros(len(rows) * n, np.int64), self.times[grams]
+        ends = np.cumsum(times)
+        cuts = [0, *np.searchsorted(ends, np.arange(PAIRS, ends[-1] if len(ends) else 0, PAIRS)).tolist(), len(grams)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            t = times[lo:hi]
+            entry = np.repeat(self.of_gram[grams[lo:hi]] - np.cumsum(t) + t, t) + np.arange(t.sum())
+            out += np.bincount(np.repeat(row[lo:hi], t) * n + self.doc[entry], minlength=len(out))
+        out = out.reshape(len(rows), n)
+        if dense:
+            place = np.repeat(self.place, self.times)
+            for c in range(0, self.frequent, COLUMNS):
+                mine = (place >= c) & (place < c + COLUMNS)
+                block = np.zeros((n, COLUMNS), np.float32)
+                block[self.doc[mine], place[mine] - c] = 1
+                out += np.rint(block[rows] @ block.T).astype(np.int64)
+        return out
+
+    def links(self, rows: np.ndarray, percent: int) -> np.ndarray:
+        """Which pairs of these documents and all pass the bound."""
+        both = self.overlaps(rows)
+        return (both > 0) & (100 * both >= percent * (self.sizes[rows, None] + self.sizes[None, :] - both))
+
+
 def linked(rows: list[np.ndarray], cols: list[np.ndarray] | None, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of row and column sets (of row sets with each other, if cols is None) that link, for some rows at a time. Overlap
-    counts are accumulated over blocks of n-grams."""
-    sets = rows if cols is None else [*rows, *cols]
-    sizes = np.array([len(s) for s in sets])
-    doc = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-    grams = np.concatenate(sets)
-    order = np.argsort(grams)
-    grams, doc = grams[order], doc[order]
-    # grams of one set add to no overlap
-    new = np.ones(len(grams) + 1, bool)
-    new[1:-1] = grams[1:] != grams[:-1]
-    shared = ~(new[:-1] & new[1:])
-    doc, at = doc[shared], np.cumsum(new[:-1][shared], dtype=np.int32) - 1
-    width = int(at[-1]) + 1 if len(at) else 0
-    del grams, order, new, shared
-    right = slice(0 if cols is None else len(rows), len(sets))
-    for first in range(0, len(rows), TILE):
-        tile = slice(first, min(first + TILE, len(rows)))
-        both = np.zeros((tile.stop - first, right.stop - right.start), np.int32)
-        for c in range(0, width, COLUMNS):
-            lo, hi = np.searchsorted(at, [c, c + COLUMNS])
-            block = np.zeros((len(sets), COLUMNS), np.float32)
-            block[doc[lo:hi], at[lo:hi] - c] = 1
-            both += np.rint(block[tile] @ block[right].T).astype(np.int32)
-        either = sizes[tile, None] + sizes[None, right] - both
-        a, b = np.nonzero((both > 0) & (100 * both.astype(np.int64) >= percent * either))
-        yield a + first, b
+    """Index pairs of row and column sets (of row sets with each other, if cols is None) that link, for some rows at a time."""
+    product, first = Product(rows if cols is None else [*rows, *cols]), 0 if cols is None else len(rows)
+    for at in range(0, len(rows), TILE):
+        a, b = np.nonzero(product.links(np.arange(at, min(at + TILE, len(rows))), percent)[:, first:])
+        yield a + at, b
+
+
+def spanning(sets: list[np.ndarray], first: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs that link, enough to join what all linking pairs of the first sets with the others (of all sets, if there are no
+    others) join. Some leaders' rows are multiplied first; after that, rows of the largest component need not be, as the rows of the others
+    have their links to it."""
+    product, n = Product(sets), len(sets)
+    side, label = np.arange(n) >= first, np.arange(n)
+    apart = lambda x: (side != side[x, None]) if first < n else np.ones((len(x), n), bool)
+
+    def join(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for x, y in zip(*np.nonzero(product.links(rows, percent) & apart(rows) & (label != label[rows, None])), strict=True):
+            if label[rows[x]] != label[y]:
+                old, new = max(label[rows[x]], label[y]), min(label[rows[x]], label[y])
+                label[label == old] = new
+                yield rows[x : x + 1], np.array([y])
+
+    led = np.zeros(n, bool)
+    for _ in range(LEADERS):
+        rest = np.flatnonzero(~np.isin(label, label[led]))
+        if not len(rest):
+            break
+        led[rest[0]] = True
+        yield from join(rest[:1])
+    largest = np.bincount(label).argmax() if n else 0
+    rest = np.flatnonzero((label != largest) & ~led)
+    for at in range(0, len(rest), TILE):
+        yield from join(rest[at : at + TILE])
 
 
 def _forest(uid: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
@@ -277,9 +342,7 @@ def _block(percent: int):
         pdf = pdf.drop_duplicates(["uid", "side"]).sort_values(["side", "uid"], ignore_index=True)
         sets, uid = [np.frombuffer(x, "<u8") for x in pdf.grams], pdf.uid.to_numpy()
         first = int((pdf.side == 0).sum())
-        if first == len(sets):
-            return _forest(uid, linked(sets, None, percent))
-        return _forest(uid, ((a, b + first) for a, b in linked(sets[:first], sets[first:], percent)))
+        return _forest(uid, spanning(sets, first, percent))
 
     return run
 
@@ -289,7 +352,8 @@ def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, held
     sets (grams) to rows with a class. Sets travel only to where they are multiplied."""
     sizes = wanted.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("grams_all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("grams_all") / BLOCK_GRAMS))
-    wanted = held.keep(wanted.join(sizes.select("family", blocks.alias("blocks")), "family"))
+    sizes = held.keep(sizes.select("family", blocks.alias("blocks"), "m"))
+    wanted = held.keep(joined(wanted, sizes.select("family", "blocks"), "family", sizes.select("family", F.col("m").alias("c"))))
     alone = sets_of(wanted.where("blocks = 1").select("class", "family", "uid", F.lit(0).alias("side")))
     small = held.keep(alone.groupBy("family").applyInPandas(_block(percent), "a long, b long"))
     big = wanted.where("blocks > 1")
@@ -302,11 +366,12 @@ def _families(wanted: DataFrame, members: DataFrame, sets_of, percent: int, held
     leaders = ranks.where(F.col("r") <= LEADERS).select("family", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "uid", F.lit(1).alias("side"))
     star_rows = big.select("family", "block", "uid", F.lit(0).alias("side")).unionByName(leaders)
     star = held.keep(star_rows.join(sets, "uid").groupBy("family", "block").applyInPandas(_block(percent), "a long, b long"))
-    joined = components(star)
-    big = big.join(joined.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    found = components(star)
+    big = big.join(found.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     size = big.groupBy("label").agg(F.count("*").alias("c"), F.sum("n").alias("g"))
     pieces = F.greatest(F.ceil(F.col("c") / BLOCK_DOCS), F.ceil(F.col("g") / BLOCK_GRAMS))
-    big = big.join(size.select("label", F.when(F.col("c") * 4 >= BLOCK_DOCS, pieces).alias("pieces")), "label")
+    size = held.keep(size.select("label", "c", F.when(F.col("c") * 4 >= BLOCK_DOCS, pieces).alias("pieces")))
+    big = joined(big, size.select("label", "pieces"), "label", size.select("label", "c"))
     # a block of one component is never multiplied with another of the same; the rest share blocks, dealt by hash
     mixed = F.expr("struct(-1L as of, pmod(xxhash64(uid), blocks) as nr)")
     pure = F.expr("struct(label as of, pmod(xxhash64(uid), pieces) as nr)")
@@ -342,13 +407,15 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
         signed, signed_path = stored(source.mapInArrow(keys, "doc_id long, n long, class binary, keys array<long>").withColumn("uid", F.monotonically_increasing_id()), "signed")
         keyed = signed.select("uid", F.explode("keys").alias("key"))
     rows = signed.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class"))
-    classes = rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"))
-    members = held.keep(rows.join(classes, "class", "left").withColumn("rep", F.coalesce("rep", "uid")))
+    classes = held.keep(rows.where("class is not null").groupBy("class").agg(F.min("uid").alias("rep"), F.count("*").alias("c")))
+    members = held.keep(joined(rows, classes.select("class", "rep"), "class", classes.select("class", "c")).withColumn("rep", F.coalesce("rep", "uid")))
     copies = members.where("uid != rep").select("uid")
     copies = F.broadcast(copies) if copies.count() <= broadcast_keys else copies
     exploded = keyed.join(copies, "uid", "left_anti")
-    shared = held.keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least"))
-    meet = exploded.join(F.broadcast(shared) if shared.count() <= broadcast_keys else shared, "key").where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
+    shared = held.keep(exploded.groupBy("key").agg(F.min("uid").alias("least"), F.count("*").alias("c")).where("c > 1"))
+    least_of, few_keys = shared.select("key", "least"), shared.count() <= broadcast_keys
+    meet = exploded.join(F.broadcast(least_of), "key") if few_keys else joined(exploded, least_of, "key", shared.select("key", "c"))
+    meet = meet.where("uid != least").select(F.col("uid").alias("a"), F.col("least").alias("b"))
     families = components(meet).select(F.col("node").alias("uid"), F.col("label").alias("family"))
 
     wanted = held.keep(families.join(members.where("uid = rep"), "uid").select("uid", "family", "n", "doc_id", "class"))
@@ -373,10 +440,11 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
 
     links = _families(wanted, members, sets_of, percent, held)
     # what joins the documents: links between classes, and rows that are of one class or of one doc_id
-    found = components(links)
-    by_rep = members.join(found.select(F.col("node").alias("rep"), "label"), "rep", "left").select("uid", "doc_id", "n", F.coalesce("label", "rep").alias("label"))
-    least = by_rep.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = table(by_rep.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id"), "joined")
+    found = components(links).select(F.col("node").alias("rep"), "label")
+    by_rep = joined(members, found, "rep", classes.select("rep", "c")).select("uid", "doc_id", "n", F.coalesce("label", "rep").alias("label"))
+    by_rep = held.keep(by_rep)
+    least = held.keep(by_rep.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c")))
+    out = table(joined(by_rep, least.select("label", "component_id"), "label", least.select("label", "c")).select("doc_id", F.col("n").alias("n_shingles"), "component_id"), "joined")
     held.release()
     drop(spark, signed_path)
     return out
