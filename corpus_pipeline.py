@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that the one before kept, and returns a DataFrame; all but the last
 return the columns of documents. run() writes each result to the shared folder and reads it back for the next.
+
+Defined cases: a null or empty text, or one without letters, goes in the first stage, and would stay in the second (it is like no other
+text) and the third (it leaks nothing); in packing it is one end id. A null doc_id, or one that several rows have, doesn't join rows:
+stages decide on each row by its own text. Of documents alike, the least id stays, or the first row where a table has such ids;
+all documents that are linked, over others as well, are one group, so there are no ties. Very long texts are read whole by each
+stage. Repeated rows are exact copies. An empty table stays empty. Columns beyond those of documents are kept, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -13,20 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm import decontamination, language_id, ngram_join, packing
+from rillflow.llm.joins import without
 from rillflow.llm.store import table
 
-BROADCAST_IDS = 1_000_000
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id isn't among ``dropped`` (doc_id). Up to BROADCAST_IDS ids are broadcast; more are joined by a shuffle."""
-    ids = table(dropped.select("doc_id").distinct(), "dropped")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_anti")
-
-
 def by_row(stage: Stage) -> Stage:
     """A filtering stage that decides on rows even where ids are null or come more than once: there, rows are numbered, and the
     numbers stand in for the ids."""
