@@ -32,13 +32,23 @@ def user_filter(df: DataFrame, where: str) -> Column:
     all is true."""
     if not where.strip():
         return F.lit(True)
+    return F.coalesce(F.expr(where).cast("boolean"), F.lit(False)) if names_known(df, where) else F.lit(False)
+
+
+def lacks_field(e: AnalysisException) -> bool:
+    """Whether an expression names a field that the records don't have."""
+    return (e.getCondition() or "").split(".")[0] in ("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND", "INVALID_EXTRACT_BASE_FIELD_TYPE")
+
+
+def names_known(df: DataFrame, where: str) -> bool:
+    """Whether these records have all fields that a predicate names."""
     try:
         df.select(F.expr(where).cast("boolean"))
     except AnalysisException as e:
-        if e.getCondition() and e.getCondition().split(".")[0] in ("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND", "INVALID_EXTRACT_BASE_FIELD_TYPE"):
-            return F.lit(False)
+        if lacks_field(e):
+            return False
         raise
-    return F.coalesce(F.expr(where).cast("boolean"), F.lit(False))
+    return True
 
 
 # projections

@@ -3,19 +3,24 @@
 For an output topic: records of its input topics without a completion record are routed to the first rule whose case holds;
 stateless rules map a record, denorm rules join two topics' records. Outputs are numbered from the topic's next offset on, and are
 committed together with completion records of what they were made from.
+
+A run reads its inputs and their completion records from a cursor on, below which nothing is pending; a commit says how far it got. (A
+topic's offsets only grow from one commit to the next, which ingest checks.) A commit is made after the last commit of the snapshot that the run has seen, so of two runs at once one commits, and the other looks again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.config import ConfigError, Rule, Transform, routes
-from rillflow.operators.records import number, project, quote_in, switch, unprocessed, user_filter
-from rillflow.sources.pool import Pool
+from rillflow.operators.records import lacks_field, names_known, number, project, quote_in, switch, unprocessed, user_filter
+from rillflow.sources.pool import Commit, Conflict, Pool
 
 
 @dataclass(frozen=True)
@@ -87,6 +92,7 @@ class Result:
 def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFrame], next_offset: int = 0, persist: bool = False) -> Result | None:
     """The lazy plans of one output topic, from the raw records and completion records of its inputs."""
     routed: dict[str, DataFrame] = {}
+    check_fields(p, raw)
     for topic in p.inputs:
         if topic in raw:
             pending = unprocessed(raw[topic], done[topic]) if topic in done else raw[topic]
@@ -97,11 +103,7 @@ def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFra
     for i, rule in enumerate(p.rules):
         sides = [routed[t].where(F.col("rule") == i) for t in rule.topics if t in routed]
         if len(sides) == len(rule.topics):
-            try:
-                legs.append((i, denorm(rule, *sides) if rule.type == "denorm" else stateless(rule, sides[0])))
-            except Exception as e:
-                if not _lacks(e):
-                    raise
+            legs.append((i, denorm(rule, *sides) if rule.type == "denorm" else stateless(rule, sides[0])))
     if not legs:
         return None
     one = [leg.select(F.lit(i).alias("_rule"), "_left", "_right", F.struct("key", "value").alias(f"out{i}")) for i, leg in legs]
@@ -120,10 +122,22 @@ def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFra
     return Result(outputs, numbered, completions, rows.agg((2 * F.count("*")).alias("found")), [*routed.values(), rows] if persist else [])
 
 
-def _lacks(e: Exception) -> bool:
-    """Whether an expression names a field that these records don't have: such a rule makes nothing of them."""
-    name = getattr(e, "getCondition", lambda: None)() or ""
-    return name.split(".")[0] in ("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND", "INVALID_EXTRACT_BASE_FIELD_TYPE")
+def check_fields(p: OutputPlan, raw: dict[str, DataFrame]) -> None:
+    """Raises if a rule names a field that no type of its topics' records has: a misspelt name would leave them pending for ever. A rule
+    of topics without records yet can't be checked."""
+    for i, rule in enumerate(p.rules):
+        of = {t: raw[t] for t in rule.topics if t in raw}
+        if len(of) < len(rule.topics):
+            continue
+        if rule.where.strip() and not any(names_known(df, rule.where) for df in of.values()):
+            raise ConfigError(f"case {i} of {p.topic}: no record of {', '.join(of)} has the fields of {rule.where!r}")
+        sides = [df.select("kafka", "key", "value") for df in of.values()]
+        try:
+            denorm(rule, sides[0], sides[-1]) if rule.type == "denorm" else stateless(rule, sides[0])
+        except AnalysisException as e:
+            if lacks_field(e):
+                raise ConfigError(f"case {i} of {p.topic}: no record of {', '.join(of)} has a field that 'select' or 'join-on' names: {e.getMessageParameters() or e}") from e
+            raise
 
 
 class Pipeline:
@@ -133,35 +147,89 @@ class Pipeline:
         self.spark, self.plans, self.routes = spark, plan(transform), routes(transform)
         self.pools = {name: Pool.open(spark, f"{folder.rstrip('/')}/{name}") for name in dict.fromkeys(self.routes.pools.values())}
 
-    def _run(self, p: OutputPlan) -> int:
-        out, raws = self.pools[p.pool], {}
-        snapshots = {name: pool.commits() for name, pool in self.pools.items()}
+    def _inputs(self, p: OutputPlan, snapshots: dict[str, list[Commit]]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+        """Records and completion records of the inputs, from the cursors on."""
+        out, raws, done = self.pools[p.pool], {}, {}
+        at = out.cursors(snapshots[p.pool])
         for t in p.inputs:
             name = self.routes.pools[t]
-            if (df := self.pools[name].read(t, snapshot=snapshots[name])) is not None:
-                raws[t] = df
-        done = {t: out.done(t, snapshots[p.pool]) for t in raws}
-        made = run_output(p, raws, done, out.next_producer_offsets().get(p.topic, 0), persist=True)
+            if (df := self.pools[name].read(t, at.get(t), snapshots[name])) is not None:
+                raws[t], done[t] = df, out.done(t, snapshots[p.pool], at.get(t))
+        return raws, done
+
+    def _cursors(self, raws: dict[str, DataFrame], done: list[dict[str, DataFrame]], snapshots: dict[str, list[Commit]]) -> dict[str, int]:
+        """By topic, the first offset that is still pending, or the one after the last."""
+        out = {}
+        for t, df in raws.items():
+            left, name = df.select("kafka"), self.routes.pools[t]
+            for some in done:
+                left = unprocessed(left, some[t]) if t in some else left
+            first = left.agg(F.min("kafka.offset")).first()[0]
+            out[t] = self.pools[name].next_consumer_offset(t, snapshots[name]) if first is None else first
+        return out
+
+    def _run(self, p: OutputPlan) -> int:
+        out = self.pools[p.pool]
+        snapshots = {name: pool.commits() for name, pool in self.pools.items()}
+        raws, done = self._inputs(p, snapshots)
+        last = max((c.number for c in snapshots[p.pool]), default=0)
+        made = run_output(p, raws, done, out.next_producer_offsets(snapshots[p.pool]).get(p.topic, 0), persist=True)
         try:
             found = made.found.first()[0] if made else 0
             if found:
-                out.commit([(p.topic, df) for df in made.outputs], list(made.done.items()))
+                self._before_commit(p)
+                out.commit([(p.topic, df) for df in made.outputs], list(made.done.items()), after=last, cursor=self._cursors(raws, [done, made.done], snapshots))
             return found
         finally:
             for df in made.kept if made else []:
                 df.unpersist()
 
+    def _before_commit(self, p: OutputPlan) -> None:
+        """What tests put between the plan and the commit."""
+
+    def _until_committed(self, step: Callable[[OutputPlan], int], p: OutputPlan) -> int:
+        """Others' commits may come between; each round that fails means that another run got on."""
+        while True:
+            try:
+                return step(p)
+            except Conflict:
+                continue
+
     def run(self) -> int:
         """Runs every output; the number of output and completion rows that were made (0: nothing new, and no commit)."""
-        return sum(self._run(p) for p in self.plans)
+        return sum(self._until_committed(self._run, p) for p in self.plans)
+
+    def expire(self, before: dict[str, int]) -> int:
+        """Completes pending records below an offset of their topic without any output, as what would have completed them never came; how
+        many. They hold the cursor back no more."""
+
+        def step(p: OutputPlan) -> int:
+            out = self.pools[p.pool]
+            snapshots = {name: pool.commits() for name, pool in self.pools.items()}
+            raws, done = self._inputs(p, snapshots)
+            marks = {}
+            for t in raws:
+                if t in before:
+                    old = unprocessed(raws[t], done[t]).where(F.col("kafka.offset") < before[t])
+                    marks[t] = old.select(F.struct("kafka.topic", "kafka.offset").alias("kafka"))
+            last = max((c.number for c in snapshots[p.pool]), default=0)
+            made = out.commit([], list(marks.items()), after=last, cursor=self._cursors(raws, [done, marks], snapshots))
+            return made.rows if made else 0
+
+        return sum(self._until_committed(step, p) for p in self.plans)
 
     def pending(self) -> dict[str, DataFrame]:
         """Records that no completion record accounts for, by input topic."""
         found = {}
         for p in self.plans:
+            snapshots = {name: pool.commits() for name, pool in self.pools.items()}
+            raws, done = self._inputs(p, snapshots)
             for t in p.inputs:
-                if (df := self.pools[self.routes.pools[t]].read(t)) is not None:
-                    found[t] = unprocessed(df, self.pools[p.pool].done(t))
+                name = self.routes.pools[t]
+                if t in raws:
+                    found[t] = unprocessed(raws[t], done[t])
+                elif (df := self.pools[name].read(t, snapshot=snapshots[name])) is not None:
+                    found[t] = df.where("false")
         return found
 
 

@@ -3,15 +3,43 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 class Exists(FileExistsError):
     pass
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one only in local mode with the setting unset, as in
+    tests."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="rillflow-")
+    return _own[app]
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder below the shared one; the driver's JVM deletes it when it ends."""
+    path = f"{shared_dir(spark)}/rillflow/{name}-{uuid.uuid4().hex}"
+    fs, place = _fs(spark, path)
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
+    return path
+
+
 def _local(path: str) -> str | None:
     u = urlparse(path)
     return (u.path if u.scheme else path) if u.scheme in ("", "file") else None
@@ -39,14 +67,15 @@ def create(spark: SparkSession, path: str, text: str) -> None:
             os.unlink(part)
         return
     fs, place = _fs(spark, path)
-    try:
-        out = fs.create(place, False)
-    except Exception as e:
-        if fs.exists(place):
-            raise Exists(path) from e
-        raise
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{os.urandom(8).hex()}.part")
+    out = fs.create(part, False)
     out.write(bytearray(text.encode()))
     out.close()
+    try:  # a rename that fails where there is a file already, as on HDFS; readers never see half a file
+        if fs.exists(place) or not fs.rename(part, place):
+            raise Exists(path)
+    finally:
+        fs.delete(part, False)
 
 
 def read(spark: SparkSession, path: str) -> str:
@@ -61,6 +90,12 @@ def read(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder or file, if it is there."""
+    fs, place = _fs(spark, path)
+    fs.delete(place, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     if (local := _local(path)) is not None:
         return os.path.exists(local)
