@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import argparse
+import csv
+import json
 import platform
 import sys
-import tempfile
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import rillflow
+from rillflow.codecs.registry import FolderRegistry, HttpRegistry, Registry
 from rillflow.config import ConfigError, load, load_script, plural, seconds
 from rillflow.model import EARLIEST
 from rillflow.plans.etl import Pipeline, explain, plan
 from rillflow.session import session
 from rillflow.sources.pool import Pool
-from rillflow.streaming.log import FileLog
-from rillflow.streaming.move import Codec, consume, from_log, produce, to_log
+from rillflow.streaming.log import FileLog, KafkaLog
+from rillflow.streaming.move import Codec, follow, from_log, produce, to_log
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,7 +33,11 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--log", default="log", help="folder of the topic logs")
         c.add_argument("--lake", default="lake", help="folder of the pools")
         c.add_argument("--format", default="json", help="json or avro")
+        c.add_argument("--kafka", default="", help="JSON file with a broker's client settings; topics are there, not in --log")
         c.add_argument("--registry", default="", help="folder of the schema registry")
+        c.add_argument("--registry-url", default="", help="a registry over HTTP")
+        c.add_argument("--registry-user", default="")
+        c.add_argument("--registry-password", default="")
         c.add_argument("--namespace", default="")
         c.add_argument("--master", default="local[*]")
         if topic:
@@ -36,21 +47,28 @@ def parser() -> argparse.ArgumentParser:
     c = command("from-log", "topics into pools")
     c.add_argument("--pool", default="")
     c.add_argument("--shaper", default="")
-    c.add_argument("--per-batch", type=int, default=0)
+    c.add_argument("--per-batch", type=int, default=0, help="most records of a micro-batch (most runs of a log in files)")
+    c.add_argument("--max-records", type=int, default=1 << 20, help="most records of a commit")
+    c.add_argument("--max-topic-bytes", type=int, default=1 << 20, help="most bytes of a topic in a commit")
     c.add_argument("--interval", default="", help="keep running, a commit at most so often")
     c.add_argument("--exit-after", default="")
-    c.add_argument("--checkpoint", default="")
+    c.add_argument("--checkpoint", default="", help="a folder that driver and executors share; below --lake by default")
     c.add_argument("files", nargs="*", help="transform files whose inputs to read")
     c = command("to-log", "a pool's records into a topic")
     c.add_argument("--pool", default="")
     c.add_argument("--shaper", default="")
+    c.add_argument("--partitions", type=int, default=1, help="of a topic that is new")
+    c.add_argument("--replication", type=int, default=1, help="of a topic that is new")
     c = command("etl", "run a transform", topic=False)
     c.add_argument("--explain", action="store_true")
     c.add_argument("file")
     c = command("produce", "files into a topic")
-    c.add_argument("files", nargs="+")
+    c.add_argument("files", nargs="+", help="JSON lines, CSV or Parquet; - for JSON lines from the standard input")
     c = command("consume", "print a topic")
     c.add_argument("--offset", type=int, default=EARLIEST)
+    c.add_argument("--timeout", default="0s", help="wait so long for another record")
+    c.add_argument("--output", choices=["json", "csv"], default="json")
+    c.add_argument("--meta", action="store_true", help="with topic and offset")
     command("info", "a topic's first and next offset")
     command("ls", "registered schemas", topic=False)
     c = command("create", "a new pool", topic=False)
@@ -100,36 +118,65 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         return 1
 
 
-def _with_spark(args: argparse.Namespace, spark, wanted: dict[str, list[str]]) -> int:
-    from rillflow.codecs.registry import FolderRegistry, Registry
+def registry_of(args: argparse.Namespace) -> Registry:
+    if args.registry_url:
+        return HttpRegistry(args.registry_url, args.registry_user, args.registry_password)
+    return FolderRegistry(args.registry) if args.registry else Registry()
+
+
+def log_of(args: argparse.Namespace, spark) -> FileLog | KafkaLog:
+    return KafkaLog(spark, json.loads(load_script(args.kafka))) if args.kafka else FileLog(spark, args.log)
+
+
+def frames_of(spark, paths: list[str]) -> list[DataFrame]:
+    """The records of files, or of the standard input."""
+    out = []
+    for f in paths:
+        if f == "-":
+            out.append(spark.read.json(spark.sparkContext.parallelize([x for x in sys.stdin if x.strip()])))
+        else:
+            out.append(spark.read.json(f) if f.endswith((".json", ".jsonl")) else spark.read.csv(f, header=True) if f.endswith(".csv") else spark.read.parquet(f))
+    return out
+
+
+def show(df: DataFrame, output: str) -> None:
+    """A row a line, as JSON or as CSV with a head; nested values in CSV are JSON."""
+    if output == "json":
+        for row in df.toJSON().toLocalIterator():
+            print(row)
+        return
+    write = csv.writer(sys.stdout, lineterminator="\n")
+    write.writerow(df.columns)
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    plain = df.select(*[(F.to_json(f.name) if isinstance(f.dataType, nested) else F.col(f.name).cast("string")).alias(f.name) for f in df.schema.fields])
+    for row in plain.toLocalIterator():
+        write.writerow(["" if x is None else x for x in row])
 
-    codec = Codec(args.format, FolderRegistry(args.registry) if args.registry else Registry(), args.namespace)
-    log = FileLog(spark, args.log)
+
+def _with_spark(args: argparse.Namespace, spark, wanted: dict[str, list[str]]) -> int:
+    codec, log = Codec(args.format, registry_of(args), args.namespace), log_of(args, spark)
     match args.command:
         case "create":
             Pool.create(spark, f"{args.lake}/{args.pool}")
             print(f"pool created: {args.pool}")
         case "from-log":
             pools = {n: Pool.open(spark, f"{args.lake}/{n}") for n in wanted}
-            said, _ = from_log(log, pools, wanted, args.checkpoint or tempfile.mkdtemp(), codec, load_script(args.shaper) or None, args.per_batch or None, seconds(args.interval) if args.interval else None, seconds(args.exit_after) if args.exit_after else None)
+            said, _ = from_log(log, pools, wanted, args.checkpoint or f"{args.lake}/_checkpoints/{uuid.uuid4().hex}", codec, load_script(args.shaper) or None, args.per_batch or None, seconds(args.interval) if args.interval else None, seconds(args.exit_after) if args.exit_after else None, max_records=args.max_records, max_bytes=args.max_topic_bytes)
             print(*said, sep="\n", end="\n" if said else "")
         case "to-log":
-            log.create_missing([args.topic])
+            log.create_missing([args.topic], args.partitions, args.replication)
             n = to_log(Pool.open(spark, f"{args.lake}/{args.pool}"), args.topic, log, codec, load_script(args.shaper) or None)
             print(f"synchronized {plural(n, 'record')} to topic {args.topic!r}" if n else "nothing new found to synchronize")
         case "etl":
             n = Pipeline(spark, load(args.file), args.lake).run()
             print(f"transformed {plural(n, 'record')}" if n else "nothing new found to transform")
         case "produce":
-            frames = [spark.read.json(f) if f.endswith((".json", ".jsonl")) else spark.read.csv(f, header=True) if f.endswith(".csv") else spark.read.parquet(f) for f in args.files]
             log.create_missing([args.topic])
-            n = sum(produce(f, log, args.topic, codec) for f in frames)
+            n = sum(produce(f, log, args.topic, codec) for f in frames_of(spark, args.files))
             print(f"{plural(n, 'message')} produced to topic {args.topic!r}")
         case "consume":
-            frames = consume(log, args.topic, args.offset, codec, meta=False)
-            for f in frames:
-                for row in f.toJSON().toLocalIterator():
-                    print(row)
+            for f in follow(log, args.topic, args.offset, seconds(args.timeout), codec, meta=args.meta):
+                show(f, args.output)
         case "info":
             low, high = log.watermarks(args.topic)
             print(f"low {low} high {high}")

@@ -483,3 +483,6 @@ def checked_kafka_meta(spark: SparkSession, d: str) -> DataFrame:
 @query("...SELECT min(off) AS off, 'orders' AS topic, op FROM ord GROUP BY op")
 def head_of_each_type(spark: SparkSession, d: str) -> DataFrame:
     return orders(spark, d).groupBy(F.col("kafka.topic").alias("topic"), F.col("value.op").alias("op")).agg(F.min_by("kafka.offset", "kafka.offset").alias("off"))
+
+
+from rillflow import lake_queries  # noqa: E402, F401  registers more queries here

@@ -25,31 +25,44 @@ class LogError(LookupError):
 
 
 class FileLog:
+    """A run of records is one file, named by its first offset and created by one of several writers only; where the last run ends is
+    where the log does, so a writer that dies leaves nothing half done."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._lengths: dict[str, int] = {}
 
     def _place(self, topic: str) -> str:
         return f"{self.folder}/{topic}"
 
-    def create_missing(self, topics: Iterable[str], **_: int) -> None:
+    def create_missing(self, topics: Iterable[str], partitions: int = 1, replication: int = 1) -> None:
+        """A topic here has one partition and no replicas, whatever is asked for; what was asked for is noted."""
         for t in topics:
             try:
-                files.create(self.spark, f"{self._place(t)}/_topic.json", "{}")
+                files.create(self.spark, f"{self._place(t)}/_topic.json", json.dumps({"partitions": partitions, "replication": replication}))
             except files.Exists:
                 pass
 
     def topics(self) -> list[str]:
         return files.names(self.spark, self.folder)
 
+    def _runs(self, topic: str) -> list[tuple[int, str]]:
+        return [(int(x.removesuffix(".jsonl")), x) for x in files.names(self.spark, self._place(topic), ".jsonl")]
+
+    def _end(self, topic: str, run: tuple[int, str]) -> int:
+        path = f"{self._place(topic)}/{run[1]}"
+        if path not in self._lengths:
+            self._lengths[path] = files.read(self.spark, path).count("\n")
+        return run[0] + self._lengths[path]
+
     def watermarks(self, topic: str) -> tuple[int, int]:
         """The first offset, and the one after the last."""
-        runs = files.names(self.spark, self._place(topic), ".jsonl")
+        runs = self._runs(topic)
         if not runs:
             if not files.exists(self.spark, f"{self._place(topic)}/_topic.json"):
                 raise LogError(f"no topic {topic!r}")
             return 0, 0
-        first, last = int(runs[0].split("-")[0]), runs[-1].removesuffix(".jsonl").split("-")
-        return first, int(last[0]) + int(last[1])
+        return runs[0][0], self._end(topic, runs[-1])
 
     def head(self, topic: str) -> int:
         return self.watermarks(topic)[1]
@@ -62,12 +75,11 @@ class FileLog:
             first = self.head(topic)
             if not messages:
                 return first
-            lines = "\n".join(json.dumps({"topic": topic, "partition": 0, "offset": first + i, "key": text(k), "value": text(v)}) for i, (k, v) in enumerate(messages))
-            try:  # the name starts with the offset, so two writers at one offset collide on the lock
-                files.create(self.spark, f"{self._place(topic)}/_locks/{first:020d}", "")
+            lines = "".join(json.dumps({"topic": topic, "partition": 0, "offset": first + i, "key": text(k), "value": text(v)}) + "\n" for i, (k, v) in enumerate(messages))
+            try:
+                files.create(self.spark, f"{self._place(topic)}/{first:020d}.jsonl", lines)
             except files.Exists:
-                continue
-            files.create(self.spark, f"{self._place(topic)}/{first:020d}-{len(messages):010d}.jsonl", lines + "\n")
+                continue  # another writer was there first
             return first
 
     def _typed(self, df: DataFrame) -> DataFrame:
@@ -79,7 +91,8 @@ class FileLog:
         """The records there are now."""
         low, high = self.watermarks(topic)
         start = {EARLIEST: low, LATEST: high}.get(offset, offset)
-        runs = [x for x in files.names(self.spark, self._place(topic), ".jsonl") if int(x.split("-")[0]) + int(x.removesuffix(".jsonl").split("-")[1]) > start]
+        all_ = self._runs(topic)
+        runs = [x for (_, x), end in zip(all_, [first for first, _ in all_[1:]] + [high], strict=False) if start < end <= high]
         if not runs:
             return self.spark.createDataFrame([], RECORD)
         df = self.spark.read.schema(self._RAW).json([f"{self._place(topic)}/{x}" for x in runs])
@@ -126,30 +139,91 @@ def kafka_options(settings: dict[str, str]) -> dict[str, str]:
     return out
 
 
+class BrokerAdmin:
+    """What Spark's connector can't do: topics and their offsets, through the client library that comes with its JAR."""
+
+    def __init__(self, spark: SparkSession, options: dict[str, str]):
+        self._jvm, self._settings = spark.sparkContext._jvm, {k.removeprefix("kafka."): v for k, v in options.items() if k.startswith("kafka.")}
+
+    def _client(self):
+        properties = self._jvm.java.util.Properties()
+        for k, v in self._settings.items():
+            properties.put(k, v)
+        return self._jvm.org.apache.kafka.clients.admin.Admin.create(properties)
+
+    def topics(self) -> list[str]:
+        client = self._client()
+        try:
+            return sorted(client.listTopics().names().get())
+        finally:
+            client.close()
+
+    def create(self, topic: str, partitions: int, replication: int) -> None:
+        client = self._client()
+        try:
+            made = self._jvm.org.apache.kafka.clients.admin.NewTopic(topic, partitions, replication)
+            client.createTopics(self._jvm.java.util.Collections.singletonList(made)).all().get()
+        finally:
+            client.close()
+
+    def offsets(self, topic: str) -> tuple[int, int]:
+        """The first offset of partition 0, and the one after the last."""
+        client, spec = self._client(), self._jvm.org.apache.kafka.clients.admin.OffsetSpec
+        try:
+            place = self._jvm.org.apache.kafka.common.TopicPartition(topic, 0)
+            one = lambda at: client.listOffsets(self._jvm.java.util.Collections.singletonMap(place, at)).partitionResult(place).get().offset()
+            return one(spec.earliest()), one(spec.latest())
+        finally:
+            client.close()
+
+
 class KafkaLog:
-    """Partition 0 of each topic, as order across partitions isn't defined. Needs the connector's JAR; not tried here, where it is missing."""
+    """Partition 0 of each topic, as order across partitions isn't defined. Needs the connector's JAR, which is missing here: tests put
+    another connector and another ``admin`` in its place."""
 
-    def __init__(self, spark: SparkSession, settings: dict[str, str]):
-        self.spark, self.options = spark, kafka_options(settings)
+    def __init__(self, spark: SparkSession, settings: dict[str, str], admin: BrokerAdmin | None = None, connector: str = "kafka"):
+        self.spark, self.options, self.connector = spark, kafka_options(settings), connector
+        self.admin = admin or BrokerAdmin(spark, self.options)
 
     def _start(self, topics: dict[str, int]) -> str:
         return json.dumps({t: {"0": o} for t, o in topics.items()})
 
+    def _typed(self, df: DataFrame) -> DataFrame:
+        return df.selectExpr("topic", "cast(partition as long) partition", "offset", "key", "value")
+
+    def create_missing(self, topics: Iterable[str], partitions: int = 1, replication: int = 1) -> None:
+        known = set(self.admin.topics())
+        for t in topics:
+            if t not in known:
+                self.admin.create(t, partitions, replication)
+
+    def topics(self) -> list[str]:
+        return self.admin.topics()
+
     def stream(self, topics: dict[str, int], per_batch: int | None = None) -> DataFrame:
-        reader = self.spark.readStream.format("kafka").options(**self.options).option("assign", json.dumps({t: [0] for t in topics})).option("startingOffsets", self._start(topics)).option("failOnDataLoss", "true")
+        """``per_batch`` bounds the records of a micro-batch."""
+        reader = self.spark.readStream.format(self.connector).options(**self.options).option("assign", json.dumps({t: [0] for t in topics})).option("startingOffsets", self._start(topics)).option("failOnDataLoss", "true")
         reader = reader.option("maxOffsetsPerTrigger", per_batch) if per_batch else reader
-        return reader.load().selectExpr("topic", "cast(partition as long) partition", "offset", "key", "value")
+        return self._typed(reader.load())
 
     def read(self, topic: str, offset: int = EARLIEST) -> DataFrame:
-        df = self.spark.read.format("kafka").options(**self.options).option("assign", json.dumps({topic: [0]})).option("startingOffsets", self._start({topic: offset})).load()
-        return df.selectExpr("topic", "cast(partition as long) partition", "offset", "key", "value")
+        df = self.spark.read.format(self.connector).options(**self.options).option("assign", json.dumps({topic: [0]})).option("startingOffsets", self._start({topic: offset})).load()
+        return self._typed(df)
 
     def watermarks(self, topic: str) -> tuple[int, int]:
-        row = self.read(topic).agg(F.min("offset"), F.max("offset")).first()
-        return (row[0], row[1] + 1) if row[0] is not None else (0, 0)
+        if topic not in self.admin.topics():
+            raise LogError(f"no topic {topic!r}")
+        return self.admin.offsets(topic)
 
     def head(self, topic: str) -> int:
         return self.watermarks(topic)[1]
 
+    def produce(self, topic: str, messages: list[Message]) -> int:
+        """Appends messages, in order; the offset that the first one has if nobody else writes to the topic."""
+        first = self.head(topic)
+        if messages:
+            self.produce_frame(topic, self.spark.createDataFrame(messages, "key binary, value binary").coalesce(1))
+        return first
+
     def produce_frame(self, topic: str, df: DataFrame) -> None:
-        df.select("key", "value").write.format("kafka").options(**self.options).option("topic", topic).save()
+        df.select("key", "value", F.lit(0).alias("partition")).write.format(self.connector).options(**self.options).option("topic", topic).mode("append").save()

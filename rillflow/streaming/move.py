@@ -6,19 +6,21 @@ offsets are kept anywhere. Out: batches from the log's head on, so a run that br
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.codecs import avro_binary, connect_json
 from rillflow.codecs.avro_schema import schema_text, subject
 from rillflow.codecs.registry import Registry
-from rillflow.model import EARLIEST, without_meta
+from rillflow.model import EARLIEST, LATEST, without_meta
 from rillflow.operators.records import Shaper, from_offset, shape
-from rillflow.sources.pool import Pool
-from rillflow.streaming.log import FileLog
+from rillflow.sources.pool import Conflict, Pool
 
 FORMATS = ("json", "avro")
 
@@ -94,35 +96,40 @@ def starts(pools: dict[str, Pool], topics: dict[str, list[str]]) -> dict[str, in
     return out
 
 
-def from_log(log, pools: dict[str, Pool], topics: dict[str, list[str]], checkpoint: str, codec: Codec | None = None, shaper: Shaper | str | None = None, per_batch: int | None = None, interval: float | None = None, exit_after: float | None = None, query: str = "from-log"):
+def from_log(log, pools: dict[str, Pool], topics: dict[str, list[str]], checkpoint: str, codec: Codec | None = None, shaper: Shaper | str | None = None, per_batch: int | None = None, interval: float | None = None, exit_after: float | None = None, query: str = "from-log", max_records: int | None = None, max_bytes: int | None = None):
     """Streams topics into pools; ``topics`` has the topics of each pool. Without an interval, what the log holds now is read and the
-    stream ends. Returns messages like ``pool X commit Y 2 records`` and the streaming query."""
+    stream ends. A batch with more than ``max_records``, or more than ``max_bytes`` of a topic, makes several commits. Returns messages like ``pool X commit Y 2 records`` and the streaming query."""
     codec, said = codec or Codec(), []
     begun = starts(pools, topics)
     stream = log.stream(begun, per_batch)
     session = f"{query}:{sorted(begun.items())}"
 
+    def add(pool: Pool, mine: DataFrame, some: list[str], source: dict):
+        """One commit of what the pool lacks of a batch, or None; Conflict if another writer's commit came between."""
+        snapshot = pool.commits()
+        if any(c.source == source for c in snapshot):
+            return None
+        data = []
+        for t in some:
+            at = pool.next_consumer_offset(t, snapshot)
+            # a pool that is ahead of others has these already
+            fresh = mine.where((F.col("topic") == t) & (F.col("offset") >= max(0, at)))
+            if begun[t] in (EARLIEST, at):
+                check_monotonic(mine.where(F.col("topic") == t), {t: max(0, at)} if begun[t] != EARLIEST else {})
+            if fresh.take(1):
+                data += [(t, shape(df, shaper)) for df in codec.decode(fresh)]
+        return pool.commit(data, source=source, after=max((c.number for c in snapshot), default=0))
+
     def commit(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
             for name, some in topics.items():
-                pool = pools[name]
-                following = {t: max(0, pool.next_consumer_offset(t)) for t in some}
-                source = {"query": session, "batch": number}
-                if any(c.source == source for c in pool.commits()):
-                    continue
                 mine = batch.where(F.col("topic").isin(some))
-                data = []
-                for t in some:
-                    # a pool that is ahead of others has these already
-                    fresh = mine.where((F.col("topic") == t) & (F.col("offset") >= following[t]))
-                    if begun[t] in (EARLIEST, pool.next_consumer_offset(t)):
-                        check_monotonic(mine.where(F.col("topic") == t), {t: following[t]} if begun[t] != EARLIEST else {})
-                    if fresh.take(1):
-                        data += [(t, shape(df, shaper)) for df in codec.decode(fresh)]
-                made = pool.commit(data, source=source)
-                if made:
-                    said.append(f"pool {name} commit {made.id} {made.rows} record{'' if made.rows == 1 else 's'}")
+                for i, ranges in enumerate(portions(mine, max_records, max_bytes)):
+                    source = {"query": session, "batch": number} | ({"portion": i} if i else {})
+                    made = _retried(lambda r=ranges, s=source, n=name, m=mine, x=some: add(pools[n], _within(m, r), x, s))
+                    if made:
+                        said.append(f"pool {name} commit {made.id} {made.rows} record{'' if made.rows == 1 else 's'}")
         finally:
             batch.unpersist()
 
@@ -136,7 +143,53 @@ def from_log(log, pools: dict[str, Pool], topics: dict[str, list[str]], checkpoi
     return said, running
 
 
-def to_log(pool: Pool, topic: str, log: FileLog, codec: Codec | None = None, shaper: Shaper | str | None = None, size: int = 200) -> int:
+Range = tuple[str, int, int]
+BUCKETS = 4096
+
+
+def portions(batch: DataFrame, max_records: int | None, max_bytes: int | None) -> list[list[Range] | None]:
+    """Ranges of offsets by topic for each commit of a batch, so that none has more records, or more bytes of a topic, than allowed; None
+    stands for all. Ranges are made of buckets of offsets, at most BUCKETS of a topic, and one bucket alone may have more bytes."""
+    if not max_records and not max_bytes:
+        return [None]
+    spans = batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    width = F.greatest(F.lit(1), F.ceil((F.col("high") - F.col("low") + 1) / BUCKETS))
+    width = F.least(width, F.lit(max_records)) if max_records else width
+    keyed = batch.join(F.broadcast(spans.select("topic", "low", width.alias("width"))), "topic")
+    size = F.coalesce(F.length("key"), F.lit(0)) + F.coalesce(F.length("value"), F.lit(0))
+    bucket = keyed.groupBy("topic", "low", "width", F.floor((F.col("offset") - F.col("low")) / F.col("width")).alias("nr")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    out: list[list[Range]] = []
+    n, sizes = 0, {}
+    for r in bucket.orderBy("topic", "nr").toLocalIterator():
+        low = r.low + r.nr * r.width
+        full = max_records and n + r.n > max_records or max_bytes and sizes.get(r.topic, 0) + r.bytes > max_bytes
+        if not out or full:
+            out.append([])
+            n, sizes = 0, {}
+        n, sizes[r.topic] = n + r.n, sizes.get(r.topic, 0) + r.bytes
+        if out[-1] and out[-1][-1][0] == r.topic and out[-1][-1][2] == low:
+            out[-1][-1] = (r.topic, out[-1][-1][1], low + r.width)
+        else:
+            out[-1].append((r.topic, low, low + r.width))
+    return out
+
+
+def _within(batch: DataFrame, ranges: list[Range] | None) -> DataFrame:
+    if ranges is None:
+        return batch
+    some = [(F.col("topic") == t) & (F.col("offset") >= lo) & (F.col("offset") < hi) for t, lo, hi in ranges]
+    return batch.where(reduce(Column.__or__, some))
+
+
+def _retried(step):
+    while True:
+        try:
+            return step()
+        except Conflict:
+            continue
+
+
+def to_log(pool: Pool, topic: str, log, codec: Codec | None = None, shaper: Shaper | str | None = None, size: int = 200) -> int:
     """Sends a topic's records to the log, from its head on, in batches; the number sent. The next batch starts after the last record
     read, before shaping, so neither gaps nor a shaper that drops rows stop or repeat anything."""
     codec, sent, at = codec or Codec(), 0, log.head(topic)
@@ -177,7 +230,7 @@ def _encode_with(df: DataFrame, codec: Codec) -> DataFrame:
     return codec.encode(df)
 
 
-def produce(df: DataFrame, log: FileLog, topic: str, codec: Codec | None = None) -> int:
+def produce(df: DataFrame, log, topic: str, codec: Codec | None = None) -> int:
     """Sends a frame's records, unsynchronised with anything; how many. Rows come to the driver one partition at a time."""
     coded = (codec or Codec()).encode(df).select("key", "value")
     sent, held = 0, []
@@ -191,6 +244,24 @@ def produce(df: DataFrame, log: FileLog, topic: str, codec: Codec | None = None)
     return sent + len(held)
 
 
+def follow(log, topic: str, offset: int = EARLIEST, timeout: float = 0.0, codec: Codec | None = None, meta: bool = True, wait: float = 0.1) -> Iterator[DataFrame]:
+    """The records from an offset on, decoded, and those that come later, until none has come for ``timeout`` seconds."""
+    low, high = log.watermarks(topic)
+    at = {EARLIEST: low, LATEST: high}.get(offset, offset)
+    until = time.monotonic() + timeout
+    while True:
+        head = log.head(topic)
+        if head > at:
+            records = log.read(topic, at).where(F.col("offset") < head)
+            frames = (codec or Codec()).decode(records)
+            yield from frames if meta else [without_meta(f) for f in frames]
+            at, until = head, time.monotonic() + timeout
+        elif time.monotonic() >= until:
+            return
+        else:
+            time.sleep(min(wait, max(0.0, until - time.monotonic())))
+
+
 def consume(log, topic: str, offset: int = EARLIEST, codec: Codec | None = None, meta: bool = True) -> list[DataFrame]:
     """The records there are now from an offset on, decoded, a frame for each pair of schemas."""
     frames = (codec or Codec()).decode(log.read(topic, offset))
