@@ -61,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--replication", type=int, default=1, help="of a topic that is new")
     c = command("etl", "run a transform", topic=False)
     c.add_argument("--explain", action="store_true")
+    c.add_argument("--expire", action="append", default=[], metavar="TOPIC=OFFSET", help="give up what is pending below an offset, and run nothing")
     c.add_argument("file")
     c = command("produce", "files into a topic")
     c.add_argument("files", nargs="+", help="JSON lines, CSV or Parquet; - for JSON lines from the standard input")
@@ -118,6 +119,16 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         return 1
 
 
+def offsets(texts: list[str]) -> dict[str, int]:
+    out = {}
+    for text in texts:
+        topic, _, at = text.rpartition("=")
+        if not topic or not at.isdigit():
+            raise ConfigError(f"not of the form topic=offset: {text!r}")
+        out[topic] = int(at)
+    return out
+
+
 def registry_of(args: argparse.Namespace) -> Registry:
     if args.registry_url:
         return HttpRegistry(args.registry_url, args.registry_user, args.registry_password)
@@ -168,8 +179,12 @@ def _with_spark(args: argparse.Namespace, spark, wanted: dict[str, list[str]]) -
             n = to_log(Pool.open(spark, f"{args.lake}/{args.pool}"), args.topic, log, codec, load_script(args.shaper) or None)
             print(f"synchronized {plural(n, 'record')} to topic {args.topic!r}" if n else "nothing new found to synchronize")
         case "etl":
-            n = Pipeline(spark, load(args.file), args.lake).run()
-            print(f"transformed {plural(n, 'record')}" if n else "nothing new found to transform")
+            pipeline, said = Pipeline(spark, load(args.file), args.lake), "transform"
+            if args.expire:
+                n, said = pipeline.expire(offsets(args.expire)), "expire"
+            else:
+                n = pipeline.run()
+            print(f"{said.rstrip('e')}ed {plural(n, 'record')}" if n else f"nothing new found to {said}")
         case "produce":
             log.create_missing([args.topic])
             n = sum(produce(f, log, args.topic, codec) for f in frames_of(spark, args.files))

@@ -285,6 +285,10 @@ def test_command_line_options(spark, tmp_path, capsys, monkeypatch):
     assert capsys.readouterr().out == 'key,value\n"{""ID"":1}","{""name"":""x,y""}"\n'
     assert cli.run(["consume", *common, "--topic", "T", "--meta"], spark) == 0
     assert '"offset":0' in capsys.readouterr().out
+    (tmp_path / "t.yaml").write_text("inputs: [{topic: T, pool: P}]\noutput: {topic: U, pool: P}\ntransforms: [{type: stateless, in: T, out: U, where: value.name = 'z', select: {key: in.key}}]\n")
+    assert cli.run(["etl", *common, "--expire", "T=1", f"{tmp_path}/t.yaml"], spark) == 0
+    assert "expired 1 record\n" in capsys.readouterr().out
+    assert cli.run(["etl", *common, "--expire", "T", f"{tmp_path}/t.yaml"], spark) == 1
     args = cli.parser().parse_args(["ls", "--registry-url", "http://h:1", "--registry-user", "u"])
     assert type(cli.registry_of(args)).__name__ == "HttpRegistry"
     (tmp_path / "kafka.json").write_text('{"bootstrap_servers": "h:1", "security_protocol": "SASL_SSL", "sasl_mechanisms": "PLAIN"}')
