@@ -14,10 +14,10 @@ def joined(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, hot_s
     """``left`` with the columns of ``right``, which has at most one row for each key, or nulls. ``counts`` has the rows c of left by key.
     Keys that at least one in ``hot_share`` of the rows has (there can't be more than ``hot_share`` such keys) meet by broadcast, the
     others by a shuffle; rows without a key, if they are as many, aren't moved. An empty left gives no rows."""
-    total = F.broadcast(counts.agg(F.sum("c").alias("total_")))  # one row
-    hot = [r[0] for r in counts.join(total).where(F.col("c") * hot_share >= F.col("total_")).select(key).limit(hot_share + 1).collect()]
-    if not hot:
+    total, most = counts.agg(F.sum("c"), F.max("c")).first()
+    if not total or most * hot_share < total:
         return left.join(right, key, "left")
+    hot = [r[0] for r in counts.where(F.col("c") * hot_share >= total).select(key).collect()]  # at most hot_share
     kind = left.select(key).schema
     keys = F.broadcast(left.sparkSession.createDataFrame([(k, True) for k in hot if k is not None], kind.add("hot_", "boolean")))
     few, marked = F.broadcast(right.join(keys, key).drop("hot_")), left.join(keys, key, "left")

@@ -45,11 +45,11 @@ from pyspark.sql import functions as F
 from rillflow.llm import worker
 from rillflow.llm.components import components
 from rillflow.llm.joins import joined
-from rillflow.llm.store import Held, drop, partitions, small_batches, stored, table
+from rillflow.llm.store import Held, drop, free, partitions, small_batches, stored, table
 
 WORDS_CACHED = 100_000
-BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 512, 64
-SPARSE, FEW_ROWS, PAIRS = 64, 4, 4_000_000
+BLOCK_DOCS, BLOCK_GRAMS, COLUMNS, TILE, LEADERS = 4096, 4_000_000, 2048, 128, 64
+SPARSE, FEW_ROWS, PAIRS = 64, 4, 500_000
 RARE_BELOW, SLICE_DOCS, SLICE_GRAMS, BUCKET_GRAMS, WORD_CHARS = 90, 1 << 16, 1_000_000, 1_000_000, 6
 _LOW = np.uint64(0xFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
@@ -447,4 +447,5 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, broadcast_ro
     out = table(joined(by_rep, least.select("label", "component_id"), "label", least.select("label", "c")).select("doc_id", F.col("n").alias("n_shingles"), "component_id"), "joined")
     held.release()
     drop(spark, signed_path)
+    free(spark)
     return out

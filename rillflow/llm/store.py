@@ -7,6 +7,7 @@ what the session has written so far, and the driver's JVM the rest when it ends.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -95,6 +96,12 @@ class Held:
         self._frames.clear()
 
 
+def free(spark: SparkSession) -> None:
+    """Lets the driver drop what finished steps have left: plans, broadcasts and generated classes, which only a collection finds."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
