@@ -13,14 +13,15 @@ one gap. A model per language gives the probability of a symbol after the three
    of whole numbers (2**-20 nats), so passes and pieces change nothing.
 3. Texts are scored by cross-entropy per symbol under each language, the least winning. A batch looks up its distinct 4-grams
    by binary search and then only adds up.
-4. Scores and rejection are calibrated on a fold of the training documents (remainder BACK of the id's checksum), scored by models
-   from the other training documents' counts: the share of right answers in bins of (gap to the second best language, times
-   length), and the bound on cross-entropy that a share ``false_rate`` of these documents passes. Cross-entropies are
-   compared after taking off mean and spread at their length, both fitted on that fold. The models that predict have all counts.
+4. No document is scored by a model that has counted it: each half of the training documents (by the id's checksum) is scored by models
+   of the other half, all other documents by models of all counts. On the training documents, scores and rejection are
+   calibrated: the share of right answers in bins of (gap to the second best language, times length), and the bound on
+   cross-entropy that a share ``false_rate`` of them passes, after taking off mean and spread at their length. Documents far beyond
+   all others, at most a share JUNK, are junk whatever their label, and left out of the bound.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; equal cross-entropies go to the language that
-sorts first; with nothing to learn from, all is ``und``; with nothing in the fold, calibration takes all training documents; a
-null doc_id never trains and counts as held out; very long texts are scored whole; repeated rows come out repeated; an empty
+sorts first; with nothing to learn from, all is ``und``; where one half of the training documents has none, models of all counts score
+the other; a null doc_id never trains and counts as held out; very long texts are scored whole; repeated rows come out repeated; an empty
 table gives no rows; extra columns are ignored.
 """
 
@@ -39,12 +40,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillflow.llm import worker
-from rillflow.llm.store import small_batches, table
+from rillflow.llm.store import free, small_batches, table
 
 ORDER, BITS, WIDE = 4, 6, 16
 PAD = ORDER - 1
 BATCH_SYMBOLS = 500_000
-UNKNOWN, BACK = "und", 4
+UNKNOWN = "und"
 BROADCAST_ENTRIES, LANGUAGE_ENTRIES, CHUNK = 8_000_000, 1 << 24, 1_000_000
 UNIT = 1 << 20
 
@@ -253,9 +254,9 @@ def _sizes(counts: DataFrame) -> dict[str, int]:
     return {r.lang: r.c for r in counts.groupBy("lang").agg(F.count("*").alias("c")).collect()}
 
 
-def seen_symbols(counts: DataFrame) -> np.ndarray:
-    """The letters of training documents, at most 65,536."""
-    return np.array([r.s for r in counts.select(F.expr("code & 65535").alias("s")).distinct().collect()], np.int64)
+def alphabet_of(counts: DataFrame) -> Alphabet:
+    """Of the letters of training documents, at most 65,536."""
+    return Alphabet(np.array([r.s for r in counts.select(F.expr("code & 65535").alias("s")).distinct().collect()], np.int64))
 
 
 class Counts:
@@ -300,7 +301,7 @@ def train(texts: DataFrame, model_entries: int | None = None) -> Models:
     """Models of a table of text and lang (both not null), from all counts. With ``model_entries``, 4-grams below a power of two that
     is as low as this allows are then left out of the models; discounts and lower orders still come from all."""
     counts = table(count_grams(texts), "grams")
-    have, least = Counts(counts, Alphabet(seen_symbols(counts))), 1
+    have, least = Counts(counts, alphabet_of(counts)), 1
     while model_entries is not None and counts.where(F.col("n") >= least).count() > model_entries:
         least *= 2
     return Models(have.alphabet, {x: have.model(x, least) for x in sorted(have.sizes)})
@@ -321,7 +322,8 @@ class Models(dict):
         rank, bits = self.alphabet.rank, self.alphabet.bits
         code, firsts = codes([rank[d] for d in docs], bits)
         found, at = distinct(code, bits)
-        return np.stack([-np.add.reduceat(np.rint(self[x].scores(found).astype(np.float64) * UNIT).astype(np.int64)[at], firsts) for x in sorted(self)])
+        each = [-np.rint(self[x].scores(found).astype(np.float64) * UNIT).astype(np.int64) for x in sorted(self)]
+        return np.stack([np.add.reduceat(x[at], firsts) for x in each])
 
 
 def shards(size: dict[str, int], entries: int) -> list[list[str]]:
@@ -437,7 +439,9 @@ def _bin() -> Column:
 class Calibration:
     """right[bin]: share of right answers; a text of n symbols is rejected if its cross-entropy is more than ``bound`` spreads above the
     mean. The mean is a line in 1 / (n + 1), the squared spread another, and the bound the cross-entropy's rank that a share
-    ``false_rate`` of the documents passes; with too few documents for that, the largest or the normal distribution's, if more."""
+    ``false_rate`` of the documents passes; with too few documents for that, the largest or the normal distribution's, if more. At most a share JUNK of the documents is left out
+    where those come after a gap: twice as far off as all others and as the normal distribution's bound. Without documents nothing
+    is rejected."""
 
     def __init__(self, scored: DataFrame, false_rate: float):
         known = scored.where("lang is not null and n_symbols > 0")
@@ -454,27 +458,38 @@ class Calibration:
                 last = pools.pop()
                 pools[-1] = [x + y for x, y in zip(pools[-1], last, strict=True)]
         self.right = np.concatenate([np.full(int(k), (a + 0.5) / (b + 1) if b else 0.0) for a, b, k in pools])
-        self.n = int(n.sum())
-        x, e = 1 / (F.col("n_symbols") + 1.0), F.col("entropy")
+        self.n, x, e = int(n.sum()), 1 / (F.col("n_symbols") + 1.0), F.col("entropy")
         self.mean = self._line(known, x, e)
         off = e - self.mean[0] - self.mean[1] * x
-        self.spread = self._line(known, x, off * off)
+        self.spread = self._line(known, x, off * off, falls=False)
         hist = sorted((r.z, r.c) for r in known.groupBy(F.least(F.lit(BINS), F.ceil(100 * self.passed())).alias("z")).agg(F.count("*").alias("c")).collect())
-        rank, upto, self.bound = math.ceil((self.n + 1) * (1 - false_rate)), 0, NormalDist().inv_cdf(1 - false_rate)
+        self.bound, above = NormalDist().inv_cdf(1 - false_rate), 0
+        for i in range(len(hist) - 1, 0, -1):
+            above += hist[i][1]
+            if above > JUNK * self.n:
+                break
+            if hist[i][0] >= 2 * max(hist[i - 1][0], 100 * self.bound):
+                hist = hist[:i]
+                break
+        rank, upto = math.ceil((sum(c for _, c in hist) + 1) * (1 - false_rate)), 0
         for z, c in hist:
             upto += c
             if upto >= rank or z == hist[-1][0]:
                 self.bound = z / 100 if upto >= rank else max(self.bound, z / 100)
                 break
+        if not self.n:
+            self.bound = math.inf
 
     @staticmethod
-    def _line(rows: DataFrame, x: Column, y: Column) -> tuple[float, float]:
-        """Least squares of y by x: the value at 0, and the slope."""
+    def _line(rows: DataFrame, x: Column, y: Column, falls: bool = True) -> tuple[float, float]:
+        """Least squares of y by x: the value at 0, and the slope; neither under 0 unless the line may fall."""
         r = rows.agg(F.avg(x).alias("x"), F.avg(y).alias("y"), F.avg(x * x).alias("xx"), F.avg(x * y).alias("xy")).first()
         if r.x is None:
             return 0.0, 0.0
         wide = r.xx - r.x * r.x
         slope = (r.xy - r.x * r.y) / wide if wide > 1e-12 else 0.0
+        if not falls:
+            slope = min(max(slope, 0.0), r.y / r.x)
         return r.y - slope * r.x, slope
 
     def passed(self) -> Column:
@@ -488,27 +503,28 @@ class Calibration:
         return F.when(F.col("lang_pred") == UNKNOWN, 0.0).otherwise(F.get(shares, _bin().cast("int")))
 
 
-BINS, LEAST_SPREAD = 100_000, 0.01
+BINS, LEAST_SPREAD, JUNK = 100_000, 0.01, 0.02
 
 
 def identify(docs: DataFrame, false_rate: float = 0.0005, *keep: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score (share of right answers among documents of like lead that the scoring models hadn't seen),
     entropy, rejected, and the columns ``keep``. Rejected are texts without letters and those whose cross-entropy lies so far above the
-    mean at their length as a share ``false_rate`` of unseen training documents do: they look like none of the languages."""
+    mean at their length as a share ``false_rate`` of training documents do under models that haven't counted them: they look like none
+    of the languages."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *keep).withColumn("held_out", held_out())
     small_batches(docs.sparkSession)
-    learned = rows.where("not held_out and lang is not null and text is not null")
-    back = fold("doc_id") == BACK
-    counts = table(count_grams(learned, back), "grams")
-    alphabet = Alphabet(seen_symbols(counts))
-    scored = table(score_all(rows, Counts(counts.select("lang", "code", "n"), alphabet), "text", "doc_id", "lang", "held_out", *keep), "scored")
-    fit = calibrate(learned.where(back), counts.where("n_fit > 0").select("lang", "code", F.col("n_fit").alias("n")), alphabet, false_rate)
-    if not fit.n:
-        fit = Calibration(scored.where("not held_out"), false_rate)
-    rejected = (F.col("lang_pred") == UNKNOWN) | (fit.passed() > fit.bound)
+    learned = F.expr("not held_out and lang is not null and text is not null")
+    half = F.when(learned, F.when(fold("doc_id") > 2, "b").otherwise("a")).otherwise("")
+    rows = rows.withColumn("half", half)
+    counts = table(count_grams(rows.where("half != ''"), F.col("half") == "b"), "grams")
+    alphabet = alphabet_of(counts)
+    of = {"": counts, "a": counts.withColumn("n", F.col("n") - F.col("n_fit")), "b": counts.withColumn("n", F.col("n_fit"))}
+    of = {h: Counts(df.where("n > 0").select("lang", "code", "n"), alphabet) for h, df in of.items()}
+    if not (of["a"].sizes and of["b"].sizes):
+        of["a"] = of["b"] = of[""]
+    kept = ["doc_id", "lang", "held_out", "half", *keep]
+    scored = reduce(DataFrame.unionByName, [table(score_all(rows.where(F.col("half") == h), c, "text", *kept), "scored") for h, c in of.items()])
+    fit = Calibration(scored.where("half != ''"), false_rate)
+    rejected = (F.col("lang_pred") == UNKNOWN) | (fit.passed() > F.lit(fit.bound))
+    free(docs.sparkSession)
     return scored.select("doc_id", "held_out", "lang_pred", fit.score().alias("score"), "entropy", rejected.alias("rejected"), *keep)
-
-
-def calibrate(back: DataFrame, fitted: DataFrame, alphabet: Alphabet, false_rate: float) -> Calibration:
-    """From documents (text and lang) that the counts of ``fitted`` don't have; the alphabet may have their letters."""
-    return Calibration(table(score_all(back, Counts(fitted, alphabet), "text", "lang"), "back"), false_rate)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_language import SYLLABLES, made, text
 
 from rillflow.llm import language_id as li
@@ -64,8 +65,23 @@ def test_rejects_what_is_like_no_language_and_keeps_clean_texts(spark):
     assert np.mean([r.score for i, r in got.items() if i < 1500]) > 0.97
 
 
+def test_labelled_junk_doesnt_move_the_bound(spark):
+    """A text of random letters with a language's label is learned from, but not by the models that score it."""
+    rng = random.Random(5)
+    rows = made(800, 6)
+    letters = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+    junk = [(3000 + i, " ".join(letters() for _ in range(40)), "aa") for i in range(3)]
+    got = {r.doc_id: r for r in li.identify(spark.createDataFrame(rows + junk, SCHEMA)).collect()}
+    assert all(got[i].rejected for i, _, _ in junk) and np.mean([got[i].rejected for i, _, _ in rows]) <= 0.01
+
+
 def test_bound_is_the_rank_of_unseen_documents(spark):
     df = spark.createDataFrame([("a", "a", 1.0 + i / 1000, 0.5, 99) for i in range(1000)], "lang string, lang_pred string, entropy double, lead double, n_symbols long")
     fit = li.Calibration(df, 0.01)
     assert fit.n == 1000 and df.where(fit.passed() > fit.bound).count() in (8, 9, 10)
+    assert li.Calibration(df.where("false"), 0.01).bound == float("inf")
+    # ten that come after a gap are left out of the bound, so they and the largest of the others pass it
+    far = df.withColumn("entropy", F.when(F.col("entropy") < 1.01, 9.0).otherwise(F.col("entropy")))
+    fit = li.Calibration(far, 0.01)
+    assert far.where(fit.passed() > fit.bound).where("entropy = 9").count() == 10
     assert li.Calibration(df.limit(20), 0.01).bound >= 2.3

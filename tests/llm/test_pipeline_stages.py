@@ -1,0 +1,62 @@
+"""The pipeline against a brute-force version of its stages: rejection, five words and 0.8, passages, packing."""
+
+import random
+
+import corpus_pipeline as cp
+from test_language_rejection import noise
+from test_ngram_join import brute
+from test_pipeline import SCHEMA, rows_
+
+from rillflow.llm import decontamination as dc
+
+
+def write(spark, tmp_path, rows, items):
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+
+def test_all_stages_against_brute_force(spark, tmp_path):
+    rows, items = rows_(random.Random(8))
+    rng = random.Random(3)
+    junk = [(1000 + i, noise(rng, 60), None, "s", 1) for i in range(6)] + [(1010, "совсем другие буквы и слова здесь", "en", "s", 1), (1011, "一二三四五六七八九十", None, "s", 1)]
+    write(spark, tmp_path, rows + junk, items)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = cp.table(cp.language_stage(spark, docs, str(tmp_path)), "t")
+    left = {r.doc_id for r in kept.collect()}
+    without_letters = {r[0] for r in rows if not (r[1] and any(c.isalpha() for c in r[1]))}
+    assert not left & {r[0] for r in junk}  # drops texts that have letters, too
+    assert not left & without_letters and len(left) >= len(rows) - len(without_letters) - 1  # and keeps clean ones
+    some = [r[:2] for r in rows if r[0] in left]
+    kept = cp.table(cp.near_duplicate_stage(spark, kept, str(tmp_path)), "t")
+    want = {i for i, (_, least) in brute(some, 5, 80).items() if i == least}
+    assert {r.doc_id for r in kept.collect()} == want and len(want) < len(some)
+    kept = cp.table(cp.decontamination_stage(spark, kept, str(tmp_path)), "t")
+    leaks = {r[0] for r in rows for _, x in items if r[1] and " ".join(dc.words(x)) in " ".join(dc.words(r[1]))}
+    assert {r.doc_id for r in kept.collect()} == want - leaks and leaks & want
+    pieces = cp.packing_stage(spark, kept, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces} == want - leaks
+    assert sum(r.length for r in pieces) == sum({r.doc_id: r.doc_tokens for r in pieces}.values())
+
+
+def test_very_long_texts_in_each_stage(spark, tmp_path):
+    rows, items = rows_(random.Random(9))
+    body = " ".join(r[1] for r in rows if r[1] and r[2] == "en")
+    long = [(2000, body * 12, "en", "s", 1), (2001, body * 12 + " one more", "en", "s", 1), (2002, " ".join(reversed(body.split())) * 8 + " " + items[0][1], "en", "s", 1)]
+    write(spark, tmp_path, rows + long, items)
+    docs = spark.createDataFrame(rows + long, SCHEMA)
+    at = lambda stage: {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} & {2000, 2001, 2002}
+    assert at(cp.language_stage) == {2000, 2001, 2002} and at(cp.near_duplicate_stage) == {2000, 2002} and 2002 not in at(cp.decontamination_stage)
+    pieces = [r for r in cp.packing_stage(spark, docs, str(tmp_path)).collect() if r.doc_id == 2000]
+    assert sum(r.length for r in pieces) == pieces[0].doc_tokens > 10 * 2048
+
+
+def test_ids_that_are_null_or_repeated(spark, tmp_path):
+    """Rows are decided on by their own texts."""
+    rows, items = rows_(random.Random(10))
+    texts = [r for r in rows if r[1] and len(r[1].split()) > 40][:40]
+    odd = [(None if i % 2 else 5, *r[1:]) for i, r in enumerate(texts)]
+    write(spark, tmp_path, rows, items)
+    df = spark.createDataFrame(odd, SCHEMA)
+    kept = [r.text for r in cp.near_duplicate_stage(spark, df, str(tmp_path)).collect()]
+    parts = brute([(i, r[1]) for i, r in enumerate(odd)], 5, 80)
+    assert len(kept) == len({least for _, least in parts.values()}) == len({parts[[r[1] for r in odd].index(t)][1] for t in kept})
