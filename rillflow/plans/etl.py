@@ -89,8 +89,9 @@ class Result:
     kept: list[DataFrame]
 
 
-def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFrame], next_offset: int = 0, persist: bool = False) -> Result | None:
-    """The lazy plans of one output topic, from the raw records and completion records of its inputs."""
+def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFrame], next_offset: int = 0, persist: bool = False, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> Result | None:
+    """The lazy plans of one output topic, from the raw records and completion records of its inputs. What several plans read is kept
+    by ``persist`` or by ``keep``, a function of a frame and a name; else each of them runs it."""
     routed: dict[str, DataFrame] = {}
     check_fields(p, raw)
     for topic in p.inputs:
@@ -99,6 +100,8 @@ def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFra
             routed[topic] = route(pending, topic, p.rules)
             if persist:  # several rules read it, and each would scan and join again
                 routed[topic] = routed[topic].persist()
+            elif keep:
+                routed[topic] = keep(routed[topic], topic)
     legs: list[tuple[int, DataFrame]] = []
     for i, rule in enumerate(p.rules):
         sides = [routed[t].where(F.col("rule") == i) for t in rule.topics if t in routed]
@@ -110,6 +113,8 @@ def run_output(p: OutputPlan, raw: dict[str, DataFrame], done: dict[str, DataFra
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one)
     if persist:
         rows = rows.persist()
+    elif keep:
+        rows = keep(rows, p.topic)
     keyed = rows.withColumns({"_offset": F.col("_left.offset"), "_topic": F.col("_left.topic"), "_other": F.col("_right.offset")})
     numbered = number(keyed, ["_offset", "_topic", "_rule", "_other"], "_number", next_offset)
     outputs = []

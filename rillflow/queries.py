@@ -20,6 +20,7 @@ from rillflow.config import Route, Rule, Transform
 from rillflow.model import envelope, fingerprint, fuse, type_text
 from rillflow.operators import records as R
 from rillflow.plans import etl
+from rillflow.sources.files import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,7 +95,7 @@ def run(spark: SparkSession, d: str, raw: dict[str, DataFrame] | None = None, ma
     if raw is None:
         raw, marks = both(spark, d)
     (p,) = etl.plan(transform())
-    return etl.run_output(p, raw, marks, 0)
+    return etl.run_output(p, raw, marks, 0, keep=stored)
 
 
 def flat(result: etl.Result) -> DataFrame:

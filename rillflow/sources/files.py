@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _own: dict[str, str] = {}
@@ -31,6 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A frame written to the shared folder and read back: its plan runs once, however often it is read."""
+    path = new_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """The path of a new folder below the shared one; the driver's JVM deletes it when it ends."""
     path = f"{shared_dir(spark)}/rillflow/{name}-{uuid.uuid4().hex}"
